@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .dedupe import collapse, copies_found
+from .encode import count_tokens, encode_texts
 from .lookalike import alike_found
 from .names import names_found
+from .pack import pack
+from .subjects import composition, subjects_found
 
 
 def p1_found(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -30,5 +33,28 @@ def p6_collapsed(spark: SparkSession, data_dir: str) -> DataFrame:
     return collapse(table(spark, data_dir, "raw_export"), "rec_id", "payload")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p6_found": p6_found, "p6_collapsed": p6_collapsed}
+def p7_ids(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    return encode_texts(table(spark, data_dir, "documents"), "doc_id", "text")
+
+
+def p8_packed(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Documents placed into containers of 2,048 tokens."""
+    return pack(count_tokens(table(spark, data_dir, "documents"), "doc_id", "text"), "doc_id", "n_tokens", 2048)
+
+
+def p9_found(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Subject areas of the documents without labels."""
+    return subjects_found(*(table(spark, data_dir, t) for t in ("documents", "doc_labels", "subject_areas")))
+
+
+def p9_composition(spark: SparkSession, data_dir: str) -> DataFrame:
+    """How many documents each subject area has."""
+    return composition(*(table(spark, data_dir, t) for t in ("documents", "doc_labels", "subject_areas")))
+
+
+QUERIES = {
+    "p1_found": p1_found, "p4_found": p4_found, "p6_found": p6_found, "p6_collapsed": p6_collapsed,
+    "p7_ids": p7_ids, "p8_packed": p8_packed, "p9_found": p9_found, "p9_composition": p9_composition,
+}
 ORACLES: dict[str, str] = {}
