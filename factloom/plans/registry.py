@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import found
+from . import found, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (found,)
+_MODULES = (found, scalars)
 
 
 def queries() -> dict[str, Query]:
