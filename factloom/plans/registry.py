@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import found, scalars
+from . import documents, found, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (found, scalars)
+_MODULES = (found, scalars, documents)
 
 
 def queries() -> dict[str, Query]:
