@@ -127,10 +127,18 @@ def label_kind(c: Column) -> Column:
     return F.when(s.rlike(_alternatives(SUBTOTALS)), "subtotal").when(s.rlike(_alternatives(FINAL_TOTALS)), "final")
 
 
+_NUMBERS = r"\(?-?[\d,]+(?:\.\d+)?[%％]?\)?"
+_LABELLED = r"^([一-鿿][一-鿿\s\-–—]+?)([\d,.\-\(\)%\s]+)$"
+
+
+def _number_sequence(c: Column) -> Column:
+    """Parts between white space; a part that holds several numbers as those."""
+    parts = F.split(strip(c), r"\s+")
+    return F.flatten(F.transform(parts, lambda p: F.when(F.size(F.regexp_extract_all(p, F.lit(_NUMBERS), 0)) > 1, F.regexp_extract_all(p, F.lit(_NUMBERS), 0)).otherwise(F.array(p))))
+
+
 def number_pieces(c: Column) -> Column:
-    """Numbers glued to a Chinese label or to each other, each on its own: '開發105.59.2%' gives 開發, 105.5, 9.2%."""
-    number = r"\(?-?[\d,]+(?:\.\d)?(?:\d+(?=[^.\d]|$))?[%％]?\)?"
-    label = F.regexp_extract(c, r"^([一-鿿][一-鿿\s\-–—]*?)[\d,.\-()%％\s]+$", 1)
-    rest = F.when(label != "", F.substring(c, F.length(label) + 1, F.lit(1_000_000))).otherwise(c)
-    found = F.regexp_extract_all(rest, F.lit(number), 0)
-    return F.when(label != "", F.concat(F.array(strip(label)), found)).when(F.size(found) > 1, found).otherwise(F.array(c))
+    """A label glued to numbers, and numbers glued to each other, each on its own; other texts stay whole."""
+    label, rest = F.regexp_extract(c, _LABELLED, 1), F.regexp_extract(c, _LABELLED, 2)
+    numbers = _number_sequence(c)
+    return F.when(c.isNull(), None).when(c.rlike(_LABELLED), F.concat(F.array(strip(label)), _number_sequence(rest))).when(F.size(numbers) > 1, numbers).otherwise(F.array(c))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import documents, found, scalars
+from . import documents, found, layout, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (found, scalars, documents)
+_MODULES = (found, scalars, documents, layout)
 
 
 def queries() -> dict[str, Query]:

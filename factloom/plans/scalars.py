@@ -154,6 +154,14 @@ _SIX = r"'(?i)六個月|六个月|6\s*個月|6\s*个月|six months'"
 _NINE = r"'(?i)九個月|九个月|9\s*個月|9\s*个月|nine months'"
 _ZONED = r"'^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})$'"
 
+
+
+def _SEQUENCE(c: str) -> str:  # noqa: N802
+    parts = rf"regexp_split_to_array({_fill(_STRIP, c)}, '\s+')"
+    found = f"regexp_extract_all(q, '{t._NUMBERS}')"
+    return f"flatten(list_transform({parts}, lambda q: CASE WHEN len({found}) > 1 THEN {found} ELSE [q] END))"
+
+
 ORACLES = {
     "x_text_keys": rf"""
 SELECT row_id, {_fill(_SQUEEZE, "productname")} AS squeezed,
@@ -191,6 +199,10 @@ SELECT row_id, CASE WHEN cell IS NULL THEN '' ELSE array_to_string(list_sort(lis
 FROM (SELECT *, format('{{:,}}', cast(string_split(plain, '.')[1] AS bigint)) || CASE WHEN contains(plain, '.') THEN '.' || string_split(plain, '.')[2] ELSE '' END AS grouped
   FROM (SELECT row_id, cell, {_fill(_WRITTEN, "abs(cell)")} AS plain FROM (SELECT row_id, {_CELL} AS cell FROM flat_export)) WHERE cell IS NOT NULL
   UNION ALL SELECT row_id, NULL, NULL, NULL FROM (SELECT row_id, {_CELL} AS cell FROM flat_export) WHERE cell IS NULL)""",
+    "x_numbers_split": rf"""
+SELECT line_id, array_to_string(CASE WHEN regexp_matches(text, '{t._LABELLED}') THEN list_concat([{_fill(_STRIP, "regexp_extract(text, '" + t._LABELLED + "', 1)")}], {_SEQUENCE("regexp_extract(text, '" + t._LABELLED + "', 2)")})
+  WHEN len({_SEQUENCE("text")}) > 1 THEN {_SEQUENCE("text")} ELSE [text] END, '|') AS pieces
+FROM doc_lines""",
     "x_period_ends": rf"""
 SELECT line_id, year, period_end,
   cast(period_end - CASE WHEN regexp_matches(text, {_SIX}) THEN INTERVAL 6 MONTH WHEN regexp_matches(text, {_NINE}) THEN INTERVAL 9 MONTH WHEN contains(text, '季度') THEN INTERVAL 3 MONTH ELSE INTERVAL 12 MONTH END + INTERVAL 1 DAY AS date) AS period_start,
