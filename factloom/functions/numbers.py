@@ -65,11 +65,14 @@ def unit_of(c: Column) -> Column:
 
 
 def number_variants(c: Column) -> Column:
-    """The texts a number may appear as: plain and grouped, and for negatives signed and in brackets."""
-    magnitude = F.abs(c)
-    plain = number_text(magnitude)
-    whole = F.split(plain, r"\.")
-    grouped = F.concat(F.format_number(whole[0].cast("decimal(38,0)"), 0), F.when(F.size(whole) > 1, F.concat(F.lit("."), F.get(whole, F.lit(1)))).otherwise(""))
-    both = F.array(plain, grouped)
-    signed = F.array(F.concat(F.lit("-"), plain), F.concat(F.lit("-"), grouped), F.concat(F.lit("("), plain, F.lit(")")), F.concat(F.lit("("), grouped, F.lit(")")))
-    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(F.array_distinct(F.when(c < 0, F.concat(both, signed)).otherwise(both)))
+    """The texts a number may appear as: plain and grouped, and for negatives signed and in brackets; none for null."""
+
+    def grouped(plain: Column) -> Column:
+        whole, part = F.substring_index(plain, ".", 1), F.regexp_extract(plain, r"(\..*)$", 1)
+        return F.array(plain, F.concat(F.format_number(whole.cast("decimal(38,0)"), 0), part))
+
+    # A lambda over a one-element array binds the value once, where a nested expression would be repeated in code.
+    both = F.transform(F.array(number_text(F.abs(c))), grouped)
+    signs = F.when(c < 0, F.array(F.lit("%s"), F.lit("-%s"), F.lit("(%s)"))).otherwise(F.array(F.lit("%s")))
+    forms = F.flatten(F.transform(F.flatten(both), lambda x: F.transform(signs, lambda s: F.replace(s, F.lit("%s"), x))))
+    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(F.array_distinct(forms))
