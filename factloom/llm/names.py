@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import shuffle_partitions
 from .lookalike import transducer
 
 # Traditional characters and their simplified forms, as used in names of products.
@@ -265,7 +266,8 @@ def map_names(names: DataFrame, name: str, ref: DataFrame) -> DataFrame:
     blank = F.col("name").rlike(r"^[\s\u00a0\u2000-\u200a\u202f\u205f\u3000]*$")
     distinct = names.select(F.col(name).alias("name")).where(F.col("name").isNotNull() & ~blank).distinct()
     cut = distinct.select("name", F.explode_outer(parts_of("name")).alias("p")).select("name", "p.part", "p.tokens")
-    parts = cut.where("part is not null").groupBy("part").agg(F.first("tokens").alias("tokens"))
+    # Few bytes, much work: the parts are spread over all tasks, whatever their size.
+    parts = cut.where("part is not null").groupBy("part").agg(F.first("tokens").alias("tokens")).repartition(shuffle_partitions(spark), "part")
     pairs = similar_pairs(parts, forms)
     # Candidates far below a part's best can't win and aren't carried along; the rest is bounded by the list.
     best = pairs.groupBy("part").agg(F.max("jaccard").alias("top"), F.collect_list(F.struct("form_id", "jaccard")).alias("all"))
