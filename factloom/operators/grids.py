@@ -71,39 +71,61 @@ def _said(cell: Column) -> Column:
     return (F.trim(s) != "") & ~s.rlike(r"[\d.]|^(?!-$|——$).*-")
 
 
-def _known(cell: Column, names: Column) -> Column:
-    """A prior name, its last part after a dash and before a colon, occurs in the cell."""
-    c = F.replace(F.lower(F.regexp_replace(F.coalesce(cell, F.lit("")), r"\s", "")), F.lit("之"), F.lit(""))
-    key = lambda n: F.element_at(F.split(F.element_at(F.split(F.replace(F.lower(F.trim(n)), F.lit("之"), F.lit("")), "-"), -1), ":"), 1)
-    return F.exists(names, lambda n: (key(n) != "") & (c.contains(key(n)) | ((F.length(n) > 10) & n.contains("-") & F.forall(F.split(n, ""), lambda ch: c.contains(ch)))))
+def _name_key(n: Column) -> Column:
+    """The part of a prior name that is looked for: its last part after a dash, before a colon."""
+    return F.element_at(F.split(F.element_at(F.split(F.replace(F.lower(F.trim(n)), F.lit("之"), F.lit("")), "-"), -1), ":"), 1)
+
+
+def _bare(text: Column) -> Column:
+    return F.replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s", "")), F.lit("之"), F.lit(""))
+
+
+def _named(text: Column, n: Column) -> Column:
+    """A name's key, or all letters of a long dashed name, are in a bare text."""
+    key = _name_key(n)
+    return (key != "") & (text.contains(key) | ((F.length(n) > 10) & n.contains("-") & F.forall(F.split(n, ""), lambda ch: text.contains(ch))))
 
 
 def classify(grid: Column, title: Column, names: Column) -> Column:
     """How a grid holds products: 'profit_loss', 'product_in_rows', 'product_in_columns' or 'unsupported'.
 
     In order: a title of profit and loss; prior names hit in a row against in a column; words on the timing of
-    recognition with text beside or below; words of a split by product; density of text.
+    recognition with text beside or below; words of a split by product; density of text. Only the names that
+    occur anywhere in the grid are looked for in its cells.
     """
+    text = F.array(_bare(F.array_join(F.flatten(grid), "/")))
+    near = F.flatten(F.transform(text, lambda t: F.filter(names, lambda n: F.coalesce(_named(t, n), F.lit(False)))))
+    # Lambdas over one-element arrays bind a value once, where a nested expression would be worked out again.
+    bound = F.array(F.struct(grid.alias("grid"), near.alias("names")))
+    return F.coalesce(F.when(F.coalesce(title.rlike(PROFIT_TITLE), F.lit(False)), "profit_loss"), F.get(F.transform(bound, lambda b: _orientation(b["grid"], b["names"])), F.lit(0)))
+
+
+def _orientation(grid: Column, names: Column) -> Column:
     width = F.array_max(F.transform(grid, lambda r: F.size(r)))
     columns = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: F.transform(grid, lambda r: F.get(r, c)))
-    hits = lambda cells: F.size(F.filter(cells, lambda x: F.coalesce(_known(x, names), F.lit(False))))
+    found = lambda x: F.exists(names, lambda n: F.coalesce(_named(_bare(x), n), F.lit(False)))
+    hits = lambda cells: F.when(F.size(names) > 0, F.size(F.filter(cells, found))).otherwise(F.lit(0))
     by_row, by_col = F.array_max(F.transform(grid, hits)), F.array_max(F.transform(columns, hits))
     row_text, col_text = F.size(F.filter(F.get(grid, F.lit(0)), _said)), F.size(F.filter(F.get(columns, F.lit(0)), lambda x: F.coalesce(_said(x), F.lit(False))))
     timing = "|".join(TIMING_WORDS)
     beside = lambda cells: F.exists(cells, lambda x: F.coalesce(x.rlike(timing), F.lit(False))) & (F.size(F.filter(cells, lambda x: F.coalesce(_said(x) & ~x.rlike(timing), F.lit(False)))) > 0)
-    row_votes, col_votes = F.size(F.filter(grid, beside)), F.size(F.filter(columns, beside))
     split = F.exists(F.flatten(grid), lambda x: F.coalesce(x.rlike("|".join(SPLIT_WORDS)), F.lit(False)))
+    counted = F.array(F.struct(
+        by_row.alias("r"), by_col.alias("c"), row_text.alias("rt"), col_text.alias("ct"), F.size(F.filter(grid, beside)).alias("rv"), F.size(F.filter(columns, beside)).alias("cv"),
+        split.alias("split"), (F.size(grid) >= 2).alias("tall"), (width >= 2).alias("wide")))
     rows, cols = F.lit("product_in_rows"), F.lit("product_in_columns")
-    return (
-        F.when(F.coalesce(title.rlike(PROFIT_TITLE), F.lit(False)), "profit_loss")
-        .when(F.coalesce(F.size(grid), F.lit(0)) <= 0, "unsupported")
-        .when((F.size(names) > 0) & (by_row + by_col > 0), F.when((by_row == by_col) & (col_text >= 6) & (col_text >= 3 * row_text), cols).when(by_row >= by_col, rows).otherwise(cols))
-        .when(row_votes + col_votes > 0, F.when(row_votes >= col_votes, rows).otherwise(cols))
-        .when(split & ((row_text >= 2) | (col_text >= 2)), F.when(row_text >= col_text, rows).otherwise(cols))
-        .when((F.size(grid) >= 2) & (width >= 2) & (row_text >= 2) & (row_text > col_text), rows)
-        .when((F.size(grid) >= 2) & (width >= 2) & (col_text >= 2) & (col_text > row_text), cols)
-        .otherwise("unsupported")
-    )
+
+    def ladder(k: Column) -> Column:
+        return (
+            F.when(k["r"] + k["c"] > 0, F.when((k["r"] == k["c"]) & (k["ct"] >= 6) & (k["ct"] >= 3 * k["rt"]), cols).when(k["r"] >= k["c"], rows).otherwise(cols))
+            .when(k["rv"] + k["cv"] > 0, F.when(k["rv"] >= k["cv"], rows).otherwise(cols))
+            .when(k["split"] & ((k["rt"] >= 2) | (k["ct"] >= 2)), F.when(k["rt"] >= k["ct"], rows).otherwise(cols))
+            .when(k["tall"] & k["wide"] & (k["rt"] >= 2) & (k["rt"] > k["ct"]), rows)
+            .when(k["tall"] & k["wide"] & (k["ct"] >= 2) & (k["ct"] > k["rt"]), cols)
+            .otherwise("unsupported")
+        )
+
+    return F.when(F.coalesce(F.size(grid), F.lit(0)) <= 0, "unsupported").otherwise(F.get(F.transform(counted, ladder), F.lit(0)))
 
 
 # ---- facts, one grid at a time ----

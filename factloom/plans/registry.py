@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import documents, evaluation, found, layout, scalars
+from . import delivery, documents, evaluation, found, layout, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (found, scalars, documents, layout, evaluation)
+_MODULES = (found, scalars, documents, layout, evaluation, delivery)
 
 
 def queries() -> dict[str, Query]:
