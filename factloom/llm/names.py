@@ -194,40 +194,43 @@ def reference_forms(ref: list[tuple[int, str | None, str | None]]) -> tuple[list
     return [*((i, f) for f, i in listed.items()), *((-1, f) for f in sorted(recombinations(set(listed))))], words
 
 
+def token_ranks(forms: list[str]) -> dict[str, int]:
+    """Tokens of the list numbered from 0 by rarity: the tokens of fewest forms first, ties by the token."""
+    frequency = Counter(t for f in forms for t in tokens(f))
+    return {t: k for k, (_, t) in enumerate(sorted((n, t) for t, n in frequency.items()))}
+
+
+def ranked_tokens(part: str, ranks: dict[str, int]) -> list[int]:
+    """The tokens of a part as ranks in ascending order. Tokens the list doesn't have are the rarest: -1, -2, …"""
+    known = [ranks.get(t) for t in tokens(part)]
+    return sorted(r if r is not None else -k for k, r in enumerate(known, 1))
+
+
 def _prefix(size: Column, threshold: float) -> Column:
-    return size - F.ceil(size * threshold - 1e-9) + 1
+    return (size - F.ceil(size * threshold - 1e-9) + 1).cast("int")
 
 
 def similar_pairs(parts: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(part, form_id, jaccard) of all parts and forms at or above ``threshold``; both have ``tokens``.
+    """(part, form_id, jaccard) of all parts and forms at or above ``threshold``; both have ranked ``tokens``.
 
     The join is exact: pairs are lost by no filter. ``forms`` is the reference list with its recombinations;
-    its prefixes are broadcast, their number being bounded by the list, not by the names. Tokens unknown to
-    the list are the rarest of all but can't match, so they count for a part's size only.
+    its prefixes are broadcast, their number being bounded by the list, not by the names. Tokens that the list
+    doesn't have can't match: they count for a part's size and take up its prefix. A pair is verified where its
+    first common token is met, so once.
     """
-    frequency = forms.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    ranked = (
-        forms.select("form_id", F.size("tokens").alias("ny"), F.explode("tokens").alias("token"))
-        .join(frequency, "token")
-        .groupBy("form_id", "ny")
-        .agg(F.array_sort(F.collect_list(F.struct("count", "token"))).alias("by_rarity"))
-    )
-    index = ranked.select("form_id", "ny", F.transform("by_rarity", lambda x: x["token"]).alias("ytokens"), F.posexplode(F.slice(F.col("by_rarity"), F.lit(1), _prefix(F.col("ny"), threshold).cast("int"))).alias("j", "r"))
-    index = index.select("form_id", "ny", "ytokens", "j", F.col("r.token").alias("token"))
-    weights = F.broadcast(frequency.agg(F.map_from_entries(F.collect_list(F.struct("token", "count"))).alias("weight")))
-    sized = parts.select("part", "tokens", F.size("tokens").alias("nx")).where("nx > 0").crossJoin(weights)
-    order = F.array_sort(F.transform("tokens", lambda t: F.struct(F.coalesce(F.col("weight")[t], F.lit(0)).alias("count"), t.alias("token"))))
-    rare = sized.select("part", "tokens", "nx", F.posexplode(F.slice(order, F.lit(1), _prefix(F.col("nx"), threshold).cast("int"))).alias("i", "r")).where("r.count > 0")
-    rare = rare.select("part", "tokens", "nx", "i", F.col("r.token").alias("token"))
-    near = rare.join(F.broadcast(index), "token").where((F.col("ny") >= F.col("nx") * threshold - 1e-9) & (F.col("nx") >= F.col("ny") * threshold - 1e-9))
+    index = forms.select("form_id", F.size("tokens").alias("ny"), F.col("tokens").alias("ytokens"), F.posexplode(F.slice("tokens", F.lit(1), _prefix(F.size("tokens"), threshold))).alias("j", "token"))
+    sized = parts.select("part", "tokens", F.size("tokens").alias("nx")).where("nx > 0")
+    rare = sized.select("part", "tokens", "nx", F.posexplode(F.slice("tokens", F.lit(1), _prefix(F.col("nx"), threshold))).alias("i", "token")).where("token >= 0")
+    alike = (F.col("ny") >= F.col("nx") * threshold - 1e-9) & (F.col("nx") >= F.col("ny") * threshold - 1e-9)
     need = F.ceil((F.col("nx") + F.col("ny")) * (threshold / (1 + threshold)) - 1e-9)
-    near = near.where(1 + F.least(F.col("nx") - F.col("i") - 1, F.col("ny") - F.col("j") - 1) >= need)
-    shared = F.size(F.array_intersect("tokens", "ytokens"))
-    pairs = near.select("part", "form_id", (shared / (F.col("nx") + F.col("ny") - shared)).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-9)
-    return pairs.dropDuplicates(["part", "form_id"])
+    reach = 1 + F.least(F.col("nx") - F.col("i") - 1, F.col("ny") - F.col("j") - 1) >= need
+    near = rare.join(F.broadcast(index), "token").where(alike & reach)
+    common = F.array_intersect("tokens", "ytokens")
+    met = near.select("part", "form_id", "token", (F.col("nx") + F.col("ny")).alias("both"), common.alias("common")).where(F.get("common", F.lit(0)) == F.col("token"))
+    return met.select("part", "form_id", (F.size("common") / (F.col("both") - F.size("common"))).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-9)
 
 
-_PARTS = T.ArrayType(T.StructType([T.StructField("part", T.StringType()), T.StructField("tokens", T.ArrayType(T.StringType()))]))
+_PARTS = T.ArrayType(T.StructType([T.StructField("part", T.StringType()), T.StructField("tokens", T.ArrayType(T.IntegerType()))]))
 
 
 def map_names(names: DataFrame, name: str, ref: DataFrame) -> DataFrame:
@@ -241,12 +244,13 @@ def map_names(names: DataFrame, name: str, ref: DataFrame) -> DataFrame:
     spark = names.sparkSession
     entries = [(r[0], r[1], r[2]) for r in ref.select("ref_id", "canon_name", "alt_name").collect()]
     form_list, vocabulary = reference_forms(entries)
-    forms = spark.createDataFrame([(k, f, i, tokens(f)) for k, (i, f) in enumerate(form_list)], "form_id int, form string, ref_id long, tokens array<string>")
+    ranks = token_ranks([f for _, f in form_list])
+    forms = spark.createDataFrame([(k, ranked_tokens(f, ranks)) for k, (_, f) in enumerate(form_list)], "form_id int, tokens array<int>")
     by_id = {k: (i, f) for k, (i, f) in enumerate(form_list)}
 
     @F.pandas_udf(_PARTS)
     def parts_of(text: pd.Series) -> pd.Series:
-        return pd.Series([[{"part": p, "tokens": tokens(p)} for p in clean(t, vocabulary) if len(p) > 1] for t in text])
+        return pd.Series([[{"part": p, "tokens": ranked_tokens(p, ranks)} for p in clean(t, vocabulary) if len(p) > 1] for t in text])
 
     @F.pandas_udf(T.StructType([T.StructField("ref_id", T.LongType()), T.StructField("score", T.DoubleType())]))
     def verified(part: pd.Series, near: pd.Series) -> pd.DataFrame:
@@ -267,7 +271,7 @@ def map_names(names: DataFrame, name: str, ref: DataFrame) -> DataFrame:
     distinct = names.select(F.col(name).alias("name")).where(F.col("name").isNotNull() & ~blank).distinct()
     cut = distinct.select("name", F.explode_outer(parts_of("name")).alias("p")).select("name", "p.part", "p.tokens")
     # Few bytes, much work: the parts are spread over all tasks, whatever their size.
-    parts = cut.where("part is not null").groupBy("part").agg(F.first("tokens").alias("tokens")).repartition(shuffle_partitions(spark), "part")
+    parts = cut.where("part is not null").groupBy("part").agg(F.first("tokens").alias("tokens")).repartition(2 * shuffle_partitions(spark))
     pairs = similar_pairs(parts, forms)
     # Candidates far below a part's best can't win and aren't carried along; the rest is bounded by the list.
     best = pairs.groupBy("part").agg(F.max("jaccard").alias("top"), F.collect_list(F.struct("form_id", "jaccard")).alias("all"))
