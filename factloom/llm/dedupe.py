@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Between name and value, and between fields, while a record is rewritten; payloads are freed of them first.
+_IS, _AND = "\u0001", "\u0002"
 # Everything that never tells two values apart: white space, punctuation, symbols, invisible characters.
-_NOISE = r"[\s\p{P}\p{S}\p{Z}\p{C}]+"
+_NOISE = r"[\s\p{P}\p{S}\p{Z}\p{C}&&[^\u0001\u0002]]+"
 # A field of a delimited record begins after ';', '|' or a line break, with a name and '=' or ':'.
-_NEXT_FIELD = r"\s*(?:[;|]|\r?\n)\s*(?=[\p{L}_][\p{L}\p{N}_ ]{0,40}\s*[=:])"
-_FIELD = r"(?s)^\s*([\p{L}_][\p{L}\p{N}_ ]{0,40}?)\s*[=:](.*)$"
+_FIELD_START = r"(?:^|\s*(?:[;|]|\r?\n))\s*([\p{L}_][\p{L}\p{N}_ ]{0,40}?)\s*[=:]"
 
 
 def canonical(payload: Column) -> Column:
@@ -18,16 +19,16 @@ def canonical(payload: Column) -> Column:
     A JSON object or delimited name=value pairs give 'name=value' of every field in lower case, sorted by
     name then value and parted by line feeds, which no value can hold. A payload in no known notation is
     taken whole. A field that is empty or missing is left out; an empty payload gives ''; null gives null.
+    The whole record is lowered and freed of noise in one pass.
     """
-    bare = lambda c: F.regexp_replace(F.lower(c), _NOISE, "")
-    parsed = F.from_json(payload, "map<string,string>")
-    from_map = F.transform(F.map_entries(parsed), lambda e: F.struct(bare(e["key"]).alias("f"), bare(F.coalesce(e["value"], F.lit(""))).alias("v")))
-    parts = F.filter(F.split(payload, _NEXT_FIELD), lambda p: p.rlike(_FIELD))
-    from_text = F.transform(parts, lambda p: F.struct(bare(F.regexp_extract(p, _FIELD, 1)).alias("f"), bare(F.regexp_extract(p, _FIELD, 2)).alias("v")))
-    fields = F.when(F.ltrim(payload).startswith("{") & parsed.isNotNull(), from_map).otherwise(from_text)
-    kept = F.array_sort(F.filter(fields, lambda x: x["v"] != ""))
-    text = F.array_join(F.transform(kept, lambda x: F.concat(x["f"], F.lit("="), x["v"])), "\n")
-    return F.when(F.size(fields) > 0, text).otherwise(bare(payload))
+    plain = F.translate(payload, _IS + _AND, "")
+    parsed = F.map_entries(F.from_json(plain, "map<string,string>"))
+    from_json = F.array_join(F.transform(parsed, lambda e: F.concat(e["key"], F.lit(_IS), F.coalesce(e["value"], F.lit("")))), _AND)
+    from_pairs = F.regexp_replace(plain, _FIELD_START, f"{_AND}$1{_IS}")
+    marked = F.when(F.ltrim(plain).startswith("{"), F.coalesce(from_json, plain)).otherwise(from_pairs)
+    fields = F.split(F.regexp_replace(F.lower(marked), _NOISE, ""), _AND)
+    kept = F.array_sort(F.filter(fields, lambda f: (f != "") & ~f.endswith(_IS)))
+    return F.replace(F.array_join(kept, "\n"), F.lit(_IS), F.lit("="))
 
 
 def collapse(df: DataFrame, key: str, payload: str) -> DataFrame:
