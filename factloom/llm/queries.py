@@ -57,4 +57,15 @@ QUERIES = {
     "p1_found": p1_found, "p4_found": p4_found, "p6_found": p6_found, "p6_collapsed": p6_collapsed,
     "p7_ids": p7_ids, "p8_packed": p8_packed, "p9_found": p9_found, "p9_composition": p9_composition,
 }
-ORACLES: dict[str, str] = {}
+_NOISE = r"[\s\p{P}\p{S}\p{Z}\p{C}]+"
+_JSON_FIELDS = """SELECT rec_id, k, json_extract_string(payload, '$."' || k || '"') AS v FROM (SELECT rec_id, payload, unnest(json_keys(payload)) AS k FROM raw_export WHERE ltrim(payload) LIKE '{%')"""
+_PAIR_FIELDS = r"""SELECT rec_id, regexp_extract(p, '^\s*([\p{L}_][\p{L}\p{N}_ ]*?)\s*[=:]', 1), regexp_replace(p, '^\s*[\p{L}_][\p{L}\p{N}_ ]*?\s*[=:]', '')
+  FROM (SELECT rec_id, unnest(regexp_split_to_array(payload, '[;|]')) AS p FROM raw_export WHERE ltrim(payload) NOT LIKE '{%')"""
+_CANONICAL = f"""(SELECT rec_id, string_agg(f, chr(10) ORDER BY f) AS canonical FROM (
+  SELECT rec_id, regexp_replace(lower(k), '{_NOISE}', '', 'g') || '=' || regexp_replace(lower(v), '{_NOISE}', '', 'g') AS f, regexp_replace(lower(v), '{_NOISE}', '', 'g') AS w FROM ({_JSON_FIELDS} UNION ALL {_PAIR_FIELDS}))
+  WHERE w <> '' GROUP BY rec_id)"""
+
+ORACLES: dict[str, str] = {
+    "p6_found": f"SELECT keep_id, rec_id FROM (SELECT rec_id, min(rec_id) OVER (PARTITION BY canonical) AS keep_id FROM {_CANONICAL}) WHERE rec_id <> keep_id",
+    "p6_collapsed": f"SELECT min(rec_id) AS keep_id, count(*) AS n_copies, canonical FROM {_CANONICAL} GROUP BY canonical",
+}
