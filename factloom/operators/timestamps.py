@@ -61,7 +61,7 @@ _CALENDAR_TIME = r"^(\d{4})(\d{2})(\d{2})T?(\d{2})(\d{2})(\d{2})(\d{0,6})((?:Z|[
 _SERIAL = r"^(\d{5})(?:\.(\d{1,12}))?$"
 _TIME = (
     r"(?i)^[T, ]{0,2}(上午|下午|凌晨|早上|中午|晚上)?\s?(\d{1,2})\s?[:時时點点]\s?(\d{2})"
-    r"(?:\s?[:分]\s?(\d{2})(?:[.,](\d{1,9}))?\s?秒?)?\s?分?\s?(am|pm)?\s?"
+    r"(?:\s?[:分]\s?(\d{2})(?:[.,](\d{1,9}))?\s?秒?)?\s?分?\s?(?:(am|pm)(?![a-z]))?\s?"
     r"\[?\(?(Z|(?:utc|gmt)? ?[+-]\d{1,2}(?::?\d{2})?|[a-z]+(?:/[a-z_+-]+\d*){1,2}|[a-z]{2,5})?\)?\]?$"
 )
 
