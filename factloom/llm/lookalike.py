@@ -108,9 +108,6 @@ def _ranges(chars: list[str]) -> str:
     return "".join(out)
 
 
-_MARKS = "\u0300-\u036f\u0483-\u0487\u0591-\u05bd\u0610-\u061a\u064b-\u065f\u0e31\u0e34-\u0e3a\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\u302a-\u302f\u3099\u309a\ufe20-\ufe2f"
-
-
 @lru_cache(maxsize=1)
 def transducer() -> Callable[[str], str]:
     """The compiled one-pass rewriting of a text.
@@ -122,7 +119,8 @@ def transducer() -> Callable[[str], str]:
     mapping = build_mapping()
     gone = _ranges([c for c, v in mapping.items() if v == ""])
     special = _ranges(list(mapping))
-    cluster = re.compile(f"[^{gone}]?(?:[{gone}]*[{_MARKS}])+[{gone}]*|[{special}]+")
+    marks = _ranges([chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c)) or 0x1161 <= c <= 0x11FF])
+    cluster = re.compile(f"[^{gone}]?(?:[{gone}]*[{marks}])+[{gone}]*|[{special}]+")
     table = {ord(k): v for k, v in mapping.items()}
     normal = unicodedata.normalize
     known: dict[str, str] = {}
