@@ -142,3 +142,37 @@ def number_pieces(c: Column) -> Column:
     label, rest = F.regexp_extract(c, _LABELLED, 1), F.regexp_extract(c, _LABELLED, 2)
     numbers = _number_sequence(c)
     return F.when(c.isNull(), None).when(c.rlike(_LABELLED), F.concat(F.array(strip(label)), _number_sequence(rest))).when(F.size(numbers) > 1, numbers).otherwise(F.array(c))
+
+
+def page_range(pages: Column) -> Column:
+    """Sorted page numbers as ranges: 1, 2, 3, 7 as '1-3, 7'; '' for none, null for null."""
+    p = F.array_sort(F.array_distinct(pages))
+    # a page starts a range when the one before it isn't there, and ends it when the next isn't
+    starts, ends = F.filter(p, lambda x: ~F.array_contains(p, x - 1)), F.filter(p, lambda x: ~F.array_contains(p, x + 1))
+    return F.array_join(F.zip_with(starts, ends, lambda a, b: F.when(a == b, a.cast("string")).otherwise(F.concat(a.cast("string"), F.lit("-"), b.cast("string")))), ", ")
+
+
+def percent_text(c: Column) -> Column:
+    """A share as a percentage with one decimal; '-' for null."""
+    return F.coalesce(F.concat(F.format_number(c * 100, 1), F.lit("%")), F.lit("-"))
+
+
+def html_text(c: Column) -> Column:
+    """A text fit for HTML; '' for null."""
+    s = F.coalesce(c, F.lit(""))
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        s = F.replace(s, F.lit(a), F.lit(b))
+    return s
+
+
+def title_kind(c: Column) -> Column:
+    """What kind of section a title announces; 'other' for none, null for null."""
+    return (
+        F.when(c.isNull(), None)
+        .when(c.rlike("損益表|损益表|收益表|綜合損益|综合损益|全面收益|全面收入|虧損表|亏损表"), "profit_loss")
+        .when(c.contains("分部"), "segment")
+        .when(c.rlike("產品|产品"), "product")
+        .when(c.rlike("收入|收益|營業額|营业额"), "revenue")
+        .when(c.rlike("附註|附注"), "note")
+        .otherwise("other")
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .linkage import signature
+from .linkage import contained_names, greedy_pairs, signature
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -118,3 +118,47 @@ def strategy_choices(candidates: DataFrame, doc: str, guards: tuple[float, ...]
         F.count_if(F.col("after") > F.col("now")).alias("improves"), F.count_if(F.col("after") < F.col("now")).alias("regresses"),
         F.count_if(F.col("after") == F.col("now")).alias("unchanged"), F.count_if("takeover").alias("takeovers"),
     )
+
+
+def simple_compare(exp: DataFrame, pred: DataFrame, tolerance: float = 0.01, containment: bool = False) -> DataFrame:
+    """(doc, name, state) of products by name alone, whatever the period: 'match', 'wrong', 'missing', 'extra'.
+
+    Of several rows of a name the last by id counts. Amounts agree within ``tolerance``; two nulls agree. With
+    ``containment`` a name without an equal one may stand for a name that contains it or that it contains, the
+    longest first. Rows: doc, id, name, amount; an empty name is none.
+    """
+    last = lambda df: df.where(F.length("name") > 0).groupBy("doc", "name").agg(F.max_by("amount", "id").alias("amount"), F.max("id").alias("id"))
+    a, b = last(exp), last(pred)
+    pairs = a.select("doc", "name", F.col("id").alias("exp_id")).join(b.select("doc", "name", F.col("id").alias("pred_id")), ["doc", "name"]).select("exp_id", "pred_id")
+    if containment:
+        rest = lambda df, side: df.join(pairs, df["id"] == pairs[side], "left_anti").withColumn("start_date", F.lit("")).withColumn("end_date", F.lit(""))
+        pairs = pairs.union(greedy_pairs(contained_names(rest(a, "exp_id"), rest(b, "pred_id"))))
+    left = a.select("doc", "name", F.col("amount").alias("x"), F.col("id").alias("exp_id")).join(pairs, "exp_id", "left")
+    left = left.join(b.select(F.col("id").alias("pred_id"), F.col("amount").alias("y")), "pred_id", "left")
+    agrees = (F.abs(F.col("x") - F.col("y")) <= tolerance) | (F.col("x").isNull() & F.col("y").isNull())
+    state = F.when(F.col("pred_id").isNull(), "missing").when(F.coalesce(agrees, F.lit(False)), "match").otherwise("wrong")
+    extra = b.join(pairs.select(F.col("pred_id").alias("id")), "id", "left_anti").select("doc", "name", F.lit("extra").alias("state"))
+    return left.select("doc", "name", state.alias("state")).unionByName(extra)
+
+
+def continuity(prior: DataFrame, now: DataFrame) -> DataFrame:
+    """One row on how stable the names of documents are from one side to the other.
+
+    Both sides: doc, name (normalised, empty and totals left out), currency, unit, month_day. Documents on
+    both sides count. Values that are equally common go to the smallest.
+    """
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.groupBy("doc").agg(
+            F.countDistinct("name").alias(f"{tag}_n"), *[F.mode(F.nullif(F.trim(c), F.lit("")), deterministic=True).alias(f"{tag}_{c}") for c in ("currency", "unit", "month_day")],
+        )
+
+    names = lambda df: df.where(F.length("name") > 0).select("doc", "name").distinct()
+    common = names(prior).join(names(now), ["doc", "name"]).groupBy("doc").agg(F.count("*").alias("common"))
+    both = side(prior.where(F.length("name") > 0), "a").join(side(now.where(F.length("name") > 0), "b"), "doc").join(common, "doc", "left").fillna(0, ["common"])
+    same = lambda c: F.count_if(F.coalesce(F.col(f"a_{c}"), F.lit("")) == F.coalesce(F.col(f"b_{c}"), F.lit(""))).alias(f"{c}_stable")
+    return both.agg(
+        F.count("*").alias("documents"), F.coalesce(F.sum("a_n"), F.lit(0)).alias("prior_names"), F.coalesce(F.sum("b_n"), F.lit(0)).alias("names"), F.coalesce(F.sum("common"), F.lit(0)).alias("common_names"),
+        F.count_if((F.col("common") == F.col("a_n")) & (F.col("common") == F.col("b_n"))).alias("same_sets"), F.count_if(F.col("a_n") == F.col("b_n")).alias("same_counts"),
+        F.count_if(F.col("common") < F.col("b_n")).alias("with_additions"), F.count_if(F.col("common") < F.col("a_n")).alias("with_removals"), same("currency"), same("unit"),
+        F.count_if(F.col("a_month_day").isNotNull() & (F.col("a_month_day") == F.col("b_month_day"))).alias("month_day_stable"),
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as t
 from ..operators import lines as ln
 from ..sources.tables import table
 
@@ -43,8 +44,14 @@ def readable_documents(spark: SparkSession, data_dir: str) -> DataFrame:
     return ln.readable_documents(_lines(spark, data_dir))
 
 
+def title_kinds(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Kinds of headings and how many sections have each, with the pages they are on."""
+    kinds = section_list(spark, data_dir).select("infocode", t.title_kind(F.col("title")).alias("kind"), "n_lines", "page_from")
+    return kinds.groupBy("infocode", "kind").agg(F.count("*").alias("n_sections"), F.sum("n_lines").alias("n_lines"), t.page_range(F.collect_set("page_from")).alias("pages"))
+
+
 QUERIES = {
-    "d_content_lines": content_lines, "d_title_lines": title_lines, "d_sections": sections, "d_section_list": section_list, "d_sections_merged": sections_merged,
+    "d_title_kinds": title_kinds, "d_content_lines": content_lines, "d_title_lines": title_lines, "d_sections": sections, "d_section_list": section_list, "d_sections_merged": sections_merged,
     "d_readable_documents": readable_documents,
 }
 
@@ -74,7 +81,16 @@ _TITLE = rf"""CASE WHEN t = '' OR length(regexp_replace(t, '[^\d]', '', 'g')) >
 _FLAGGED = f"(SELECT *, {_TITLE} AS is_title FROM (SELECT *, coalesce(text, '') AS t FROM doc_lines WHERE infocode IS NOT NULL))"
 _SECTIONED = f"(SELECT *, cast(sum(CASE WHEN is_title THEN 1 ELSE 0 END) OVER (PARTITION BY infocode ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS bigint) AS section_id FROM {_FLAGGED})"
 
+_PAGE_RUNS = """(SELECT infocode, kind, CASE WHEN min(p) = max(p) THEN cast(min(p) AS varchar) ELSE min(p) || '-' || max(p) END AS r, min(p) AS lo FROM (
+  SELECT *, p - row_number() OVER (PARTITION BY infocode, kind ORDER BY p) AS g FROM (SELECT DISTINCT infocode, kind, page_from AS p FROM k)) GROUP BY infocode, kind, g)"""
+
 ORACLES = {
+    "d_title_kinds": f"""
+WITH s AS (SELECT infocode, section_id, arg_min([text], line_no)[1] AS title, count(*) AS n_lines, min(page_number) AS page_from FROM {_SECTIONED} GROUP BY 1, 2),
+k AS (SELECT infocode, n_lines, page_from, CASE WHEN title IS NULL THEN NULL WHEN regexp_matches(title, '損益表|损益表|收益表|綜合損益|综合损益|全面收益|全面收入|虧損表|亏损表') THEN 'profit_loss' WHEN contains(title, '分部') THEN 'segment'
+  WHEN regexp_matches(title, '產品|产品') THEN 'product' WHEN regexp_matches(title, '收入|收益|營業額|营业额') THEN 'revenue' WHEN regexp_matches(title, '附註|附注') THEN 'note' ELSE 'other' END AS kind FROM s)
+SELECT a.infocode, a.kind, n_sections, n_lines, pages FROM (SELECT infocode, kind, count(*) AS n_sections, cast(sum(n_lines) AS bigint) AS n_lines FROM k GROUP BY 1, 2) a
+JOIN (SELECT infocode, kind, string_agg(r, ', ' ORDER BY lo) AS pages FROM {_PAGE_RUNS} GROUP BY 1, 2) b ON a.infocode = b.infocode AND a.kind IS NOT DISTINCT FROM b.kind""",
     "d_content_lines": rf"""
 WITH a AS (SELECT *, coalesce(text, '') AS t FROM doc_lines WHERE infocode IS NOT NULL),
 b AS (SELECT *, bool_or(coalesce(top < {_R.page_mark_above} AND contains(t, '{_R.page_mark}'), false)) OVER (PARTITION BY infocode, page_number) AS gone FROM a),

@@ -156,7 +156,28 @@ def prior_context(spark: SparkSession, data_dir: str) -> DataFrame:
     return fa.prior_context(table(spark, data_dir, "flat_export").where(F.trim("infocode") != ""), "infocode")
 
 
+def simple_compare(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Products of two sources compared by name alone."""
+    side = lambda source: _rows(spark, data_dir, source).select("doc", "id", "name", n.to_double(F.col("mbrevenue")).alias("amount"))
+    return qu.simple_compare(side(EXPECTED), side(PREDICTED))
+
+
+def continuity(spark: SparkSession, data_dir: str) -> DataFrame:
+    """How stable names, currencies, units and fiscal days are between two sources."""
+    flat = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "")
+    month_day = F.nullif(F.regexp_extract("reportdate", r"\d{4}[-/](\d{1,2}[-/]\d{1,2})", 1), F.lit(""))
+    rows = flat.select("source_code", F.col("infocode").alias("doc"), t.strong_name(F.col("productname")).alias("name"), "currency", "unit", month_day.alias("month_day")).where(~F.col("name").isin("合计", "合計", "总计", "總計", "总额", "總額", "total"))
+    return qu.continuity(rows.where(F.col("source_code") == EXPECTED), rows.where(F.col("source_code") == PREDICTED))
+
+
+def first_per_product(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The first row of each product of a filing."""
+    f = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "").select("infocode", t.name_key(F.col("productname")).alias("name_key"), "row_id", "mbrevenue").where(F.length("name_key") > 0)
+    return fa.first_facts(f, ["infocode", "name_key"], ["row_id"])
+
+
 QUERIES = {
+    "c_simple_compare": simple_compare, "c_continuity": continuity, "c_first_per_product": first_per_product,
     "c_signatures": signatures, "c_pairs_exact": pairs_exact, "c_pairs": pairs, "c_unpaired": unpaired, "c_compare_docs": compare_docs, "c_compare_corpus": compare_corpus, "c_compare_fields": compare_fields,
     "c_amounts_covered": amounts_covered, "c_values_located": values_located, "c_dominant_currency": dominant_currency, "c_matching_sizes": matching_sizes, "c_strategies": strategies,
     "f_sums_totals": sums_totals, "f_first_facts": first_facts, "f_merged_tables": merged_tables, "f_records": records, "f_enriched": enriched, "f_prior_context": prior_context,
@@ -235,7 +256,36 @@ _TRIPLE_WHOLE = " AND ".join(f"({_double(f)}) IS NOT NULL" for f in _TRIPLE)
 _WRITTEN = sc._WRITTEN
 _FORMS = "list_distinct(CASE WHEN v < 0 THEN [plain, grouped, '-' || plain, '-' || grouped, '(' || plain || ')', '(' || grouped || ')'] ELSE [plain, grouped] END)"
 
+_STRONG = rf"""regexp_replace(regexp_replace(lower(translate({sc._fill(sc._FOLD, "productname")}, '{t.STRONG_FOLD[0]}', '{t.STRONG_FOLD[1]}')),
+  '\([^)]*(附註|附注|note|[ivx\d]+)[^)]*\)|（[^）]*(附註|附注|note|[ivx\d]+)[^）]*）', '', 'g'), '[\s:：,，。;；、()（）\[\]【】/\\_\-–—]+', '', 'g')"""
+_SIDE_NAMES = rf"""(SELECT infocode AS doc, {_STRONG} AS name, nullif(trim(currency, ' '), '') AS currency, nullif(trim(unit, ' '), '') AS unit, nullif(regexp_extract(reportdate, '\d{{4}}[-/](\d{{1,2}}[-/]\d{{1,2}})', 1), '') AS month_day
+  FROM flat_export WHERE source_code = '{{0}}' AND trim(infocode) <> '' AND {_STRONG} NOT IN ('', '合计', '合計', '总计', '總計', '总额', '總額', 'total'))"""
+_MODE = lambda c: f"(SELECT doc, {c} AS {c}_mode FROM (SELECT doc, {c}, count(*) AS k FROM {{0}} WHERE {c} IS NOT NULL GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY doc ORDER BY k DESC, {c}) = 1)"
+_STABLE = lambda c: f"count(*) FILTER (coalesce(a.{c}_mode, '') = coalesce(b.{c}_mode, '')) AS {c}_stable"
+
+
+def _continuity_side(source: str) -> str:
+    rows = _SIDE_NAMES.replace("{0}", source)
+    modes = " ".join(f"LEFT JOIN {_MODE(c).replace('{0}', rows)} USING (doc)" for c in ("currency", "unit", "month_day"))
+    return f"(SELECT * FROM (SELECT doc, count(DISTINCT name) AS n FROM {rows} GROUP BY doc) {modes})"
+
+
 ORACLES = {
+    "c_simple_compare": f"""
+WITH a AS (SELECT doc, name, last(v ORDER BY id) AS x FROM (SELECT doc, id, name, {_double("mbrevenue")} AS v FROM {_side(EXPECTED)}) WHERE name <> '' GROUP BY 1, 2),
+b AS (SELECT doc, name, last(v ORDER BY id) AS y FROM (SELECT doc, id, name, {_double("mbrevenue")} AS v FROM {_side(PREDICTED)}) WHERE name <> '' GROUP BY 1, 2)
+SELECT a.doc, a.name, CASE WHEN b.doc IS NULL THEN 'missing' WHEN coalesce(abs(x - y) <= 0.01, x IS NULL AND y IS NULL) THEN 'match' ELSE 'wrong' END AS state FROM a LEFT JOIN b ON a.doc = b.doc AND a.name = b.name
+UNION ALL SELECT doc, name, 'extra' FROM b WHERE (doc, name) NOT IN (SELECT doc, name FROM a)""",
+    "c_continuity": f"""
+WITH a AS {_continuity_side(EXPECTED)}, b AS {_continuity_side(PREDICTED)},
+c AS (SELECT x.doc, count(*) AS common FROM (SELECT DISTINCT doc, name FROM {_SIDE_NAMES.replace("{0}", EXPECTED)}) x JOIN (SELECT DISTINCT doc, name FROM {_SIDE_NAMES.replace("{0}", PREDICTED)}) y ON x.doc = y.doc AND x.name = y.name GROUP BY 1)
+SELECT count(*) AS documents, cast(sum(a.n) AS bigint) AS prior_names, cast(sum(b.n) AS bigint) AS names, cast(sum(coalesce(common, 0)) AS bigint) AS common_names, count(*) FILTER (common = a.n AND common = b.n) AS same_sets,
+  count(*) FILTER (a.n = b.n) AS same_counts, count(*) FILTER (coalesce(common, 0) < b.n) AS with_additions, count(*) FILTER (coalesce(common, 0) < a.n) AS with_removals, {_STABLE("currency")}, {_STABLE("unit")},
+  count(*) FILTER (a.month_day_mode = b.month_day_mode) AS month_day_stable
+FROM a JOIN b ON a.doc = b.doc LEFT JOIN c ON a.doc = c.doc""",
+    "c_first_per_product": r"""
+SELECT infocode, lower(regexp_replace(productname, '\s+', '', 'g')) AS name_key, row_id, mbrevenue FROM flat_export WHERE trim(infocode) <> '' AND regexp_replace(productname, '\s+', '', 'g') <> ''
+QUALIFY row_number() OVER (PARTITION BY infocode, lower(regexp_replace(productname, '\s+', '', 'g')) ORDER BY row_id) = 1""",
     "c_signatures": f"SELECT row_id, {', '.join(f'{_sig(f)} AS {f}' for f in FIELDS)} FROM flat_export",
     "c_pairs_exact": f"WITH {_PAIRED} SELECT exp_id, pred_id, how FROM pairs",
     "c_unpaired": f"WITH {_PAIRED} SELECT 'missing' AS kind, id FROM exp WHERE id NOT IN (SELECT exp_id FROM pairs) UNION ALL SELECT 'extra', id FROM pred WHERE id NOT IN (SELECT pred_id FROM pairs)",

@@ -128,6 +128,16 @@ def read_files(spark: SparkSession, pattern: str) -> DataFrame:
     return b.select("path", F.substring(F.decode(F.substring("content", 1, 5), "ISO-8859-1"), 1, 5).alias("head"), "length", "modificationTime")
 
 
+def fresh_cache(files: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(cached rows whose file is unchanged, files to read again).
+
+    ``cache`` carries path, length and modificationTime of the file it was made from; a file of another length
+    or time counts as changed, a cache without its file as stale.
+    """
+    key = ["path", "length", "modificationTime"]
+    return cache.join(files.select(*key), key, "left_semi"), files.join(cache.select(*key).distinct(), key, "left_anti")
+
+
 _OCR = T.ArrayType(T.StructType([T.StructField("type", T.StringType()), T.StructField("content", T.StringType()), T.StructField("bbox", T.ArrayType(T.DoubleType()))]))
 
 

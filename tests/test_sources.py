@@ -70,3 +70,23 @@ def test_stream_gives_what_the_batch_gives(spark, tmp_path):
     q.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == events.where("value > 10").count()
     assert sessions(events).agg({"n_events": "sum"}).first()[0] == events.count()
+
+
+def test_cache_freshness(spark):
+    files = spark.createDataFrame([("a", 1, "t1"), ("b", 2, "t2"), ("c", 3, "t3")], "path string, length int, modificationTime string")
+    cache = spark.createDataFrame([("a", 1, "t1", "x"), ("a", 1, "t1", "y"), ("b", 2, "t9", "z"), ("d", 4, "t4", "w")], "path string, length int, modificationTime string, text string")
+    fresh, stale = ex.fresh_cache(files, cache)
+    assert sorted(r.text for r in fresh.collect()) == ["x", "y"]
+    assert sorted(r.path for r in stale.collect()) == ["b", "c"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from factloom.__main__ import main
+
+    assert main(["list"]) == 0 and "p5_found" in capsys.readouterr().out
+    assert main(["run", "e_event_property", "/root/testdata/sf0.001", "--out", str(tmp_path / "o")]) == 0
+    assert spark.read.parquet(str(tmp_path / "o")).count() > 0
+    assert main(["report", "/root/testdata/sf0.001", str(tmp_path / "r.html")]) == 0
+    assert "recall" in (tmp_path / "r.html").read_text()
+    with pytest.raises(SystemExit):
+        main(["run", "nothing", "x"])
