@@ -17,7 +17,7 @@ def test_wordings(spark):
     want = {
         "marine PUMPS": 1, "Ｍarine pumps": 1, "Sales of Marine pumps (note 5)": 1, "pumps, Marine": 1, "Mraine pumps": 1, "Marine pmups – PRC": 1, "船用水泵": 1, "船用 水泵*": 1, "水泵（船用）": 1, "Marine pumps 船用水泵": 1,
         "来自酒店租赁": 2, "酒租賃店": 2, "Hotel leasing": 2, "其中：酒店之租賃業務（附註3）": 2, "Hotel leas.": 2, "Precisoin valves": 3, "Provision of Precision valves": 3, "學校租賃及其他": 7, "酒店物流": 4,
-        "Hotel pumps": -1, "學校物流": -1, "學校水泵": -1, "Pest control": -1, "合計": -1, "Sub-total": -1, "本集團": -1, "#": -1, "​": -1, "酒": -1,
+        "租賃酒": 2, "Hotel pumps": -1, "學校物流": -1, "學校水泵": -1, "Pest control": -1, "合計": -1, "Sub-total": -1, "本集團": -1, "#": -1, "​": -1, "酒": -1,
     }
     assert _map(spark, list(want)) == want
 
