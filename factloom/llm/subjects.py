@@ -233,7 +233,7 @@ def train(documents: DataFrame, labels: DataFrame, areas: list[str], most: int =
         for r in range(sum(rounds)):
             sent = spark.sparkContext.broadcast(p)
             total, count = _round(rows, sent, len(areas), r >= rounds[0])
-            sent.unpersist()
+            sent.destroy()
             if not count:
                 return Model(areas, np.zeros((BUCKETS, len(areas)), np.float32), np.full(len(areas), -9.0, np.float32))
             adam.move(p, {k: v / count for k, v in total.items()})
@@ -265,7 +265,8 @@ def _round(rows: DataFrame, sent, areas: int, refine: bool) -> tuple[dict[str, n
 
     total: dict[str, np.ndarray] = {k: np.zeros_like(v) for k, v in sent.value.items()}
     count = 0
-    for row in rows.mapInArrow(one, "n long, e binary, w binary, b binary").toLocalIterator():
+    # As many rows as partitions, each of a fixed size.
+    for row in rows.mapInArrow(one, "n long, e binary, w binary, b binary").collect():
         count += row["n"]
         for k in total:
             total[k] += np.frombuffer(bytes(row[k]), np.float32).reshape(total[k].shape)
