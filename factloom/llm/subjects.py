@@ -23,7 +23,7 @@ from .encode import slices
 from .names import SIMPLIFIED, TRADITIONAL
 
 #: Hash buckets of the embedding table (a power of two) and width of an embedding.
-BUCKETS, WIDTH = 1 << 15, 16
+BUCKETS, WIDTH = 1 << 14, 16
 #: Most labelled documents used for training; they are drawn by a hash of their id.
 TRAINING_DOCUMENTS = 2_500
 #: Rounds of training with documents' labels, rounds with refined ones, step size.
@@ -212,7 +212,7 @@ def train(documents: DataFrame, labels: DataFrame, areas: list[str], most: int =
     drawn = known.groupBy("doc_id").agg(F.collect_set("area").alias("areas")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # Bounded by ``most`` rows, so documents aren't shuffled to find them.
     texts = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(drawn), "doc_id")
-    parts = min(8, shuffle_partitions(spark))
+    parts = min(6, shuffle_partitions(spark))
 
     def featurise(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
