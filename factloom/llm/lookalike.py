@@ -97,7 +97,7 @@ def check_mapping(mapping: dict[str, str]) -> dict[str, str]:
 
 def _ranges(chars: list[str]) -> str:
     """A regex class of characters, runs written as ranges."""
-    points = sorted(map(ord, chars))
+    points = sorted(set(map(ord, chars)))
     out, start, last = [], points[0], points[0]
     for p in [*points[1:], None]:
         if p is not None and p == last + 1:
@@ -119,8 +119,9 @@ def transducer() -> Callable[[str], str]:
     mapping = build_mapping()
     gone = _ranges([c for c, v in mapping.items() if v == ""])
     special = _ranges(list(mapping))
-    marks = _ranges([chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c)) or 0x1161 <= c <= 0x11FF])
-    cluster = re.compile(f"[^{gone}]?(?:[{gone}]*[{marks}])+[{gone}]*|[{special}]+")
+    joins = [c for c, v in mapping.items() if v and unicodedata.combining(v[0])]  # half-width sound marks
+    marks = _ranges([chr(c) for c in range(0x300, 0x1F000) if unicodedata.combining(chr(c)) or 0x1161 <= c <= 0x11FF] + joins)
+    cluster = re.compile(f"[^{gone}]?(?:[{gone}]*[{marks}])+[{gone}]*|(?:[{special}](?![{gone}]*[{marks}]))+")
     table = {ord(k): v for k, v in mapping.items()}
     normal = unicodedata.normalize
     known: dict[str, str] = {}

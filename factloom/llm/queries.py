@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import table
 from .dedupe import collapse, copies_found
 from .encode import count_tokens, encode_texts
-from .lookalike import alike_found
+from .lookalike import alike_found, build_mapping
 from .names import names_found
 from .pack import pack
 from .subjects import composition, subjects_found
@@ -65,7 +65,26 @@ _CANONICAL = f"""(SELECT rec_id, string_agg(f, chr(10) ORDER BY f) AS canonical
   SELECT rec_id, regexp_replace(lower(k), '{_NOISE}', '', 'g') || '=' || regexp_replace(lower(v), '{_NOISE}', '', 'g') AS f, regexp_replace(lower(v), '{_NOISE}', '', 'g') AS w FROM ({_JSON_FIELDS} UNION ALL {_PAIR_FIELDS}))
   WHERE w <> '' GROUP BY rec_id)"""
 
+
+
+def _look(c: str) -> str:
+    """The one form of a text in SQL: single characters by translate, expansions by replace, then composition."""
+    mapping = build_mapping()
+    quote = lambda x: x.replace("'", "''")
+    single = [(a, b) for a, b in mapping.items() if len(b) == 1]
+    gone = [a for a, b in mapping.items() if not b]
+    out = f"translate({c}, '{quote(''.join(a for a, _ in single) + ''.join(gone))}', '{quote(''.join(b for _, b in single))}')"
+    for a, b in mapping.items():
+        if len(b) > 1:
+            out = f"replace({out}, '{a}', '{quote(b)}')"
+    return f"nfc_normalize({out})"
+
+
 ORACLES: dict[str, str] = {
+    "p4_found": f"""
+WITH l AS (SELECT line_id, infocode, text, {_look("text")} AS look FROM doc_lines WHERE infocode IS NOT NULL AND text IS NOT NULL), n AS (SELECT row_id, productname, {_look("productname")} AS look FROM flat_export WHERE productname IS NOT NULL)
+SELECT 'line' AS kind, a.line_id AS key_a, b.line_id AS key_b FROM l a JOIN l b ON a.infocode = b.infocode AND a.look = b.look AND a.line_id < b.line_id AND a.text <> b.text
+UNION ALL SELECT 'name', ref_id, row_id FROM n JOIN (SELECT ref_id, canon_name, {_look("canon_name")} AS look FROM product_ref) r ON n.look = r.look AND productname <> canon_name""",
     "p6_found": f"SELECT keep_id, rec_id FROM (SELECT rec_id, min(rec_id) OVER (PARTITION BY canonical) AS keep_id FROM {_CANONICAL}) WHERE rec_id <> keep_id",
     "p6_collapsed": f"SELECT min(rec_id) AS keep_id, count(*) AS n_copies, canonical FROM {_CANONICAL} GROUP BY canonical",
 }

@@ -2,12 +2,13 @@ import random
 import unicodedata
 
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from factloom.llm.lookalike import alike_found, alike_pairs, build_mapping, check_mapping, transducer
 
 rewrite = transducer()
+TABLE = str.maketrans(build_mapping())
 
 
 @pytest.mark.parametrize(
@@ -26,16 +27,29 @@ def test_visible_differences_stay(text):
     assert rewrite(text) == text
 
 
+@settings(max_examples=500, deadline=None)
 @given(st.text())
 def test_idempotent(text):
     assert rewrite(rewrite(text)) == rewrite(text)
 
 
+@settings(max_examples=500, deadline=None)
 @given(st.text())
 def test_composition_makes_no_difference(text):
     assert rewrite(unicodedata.normalize("NFC", text)) == rewrite(unicodedata.normalize("NFD", text))
 
 
+def test_wide_letters_with_marks_compose():
+    assert rewrite("\uff30\uff52\uff45\u0301\uff47\u200b\u0301x") == "Pr\u00e9\u01f5x"
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from(list("aeo\uff45\u0435\u0301\u200b\u00a0 \u3000\u2f00\uff76\uff9e"))))
+def test_same_as_character_by_character(text):
+    """One pass over clusters gives what mapping, decomposing and composing the whole text gives."""
+    assert rewrite(text) == unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(TABLE)).translate(TABLE))
+
+
 def test_conflicts_are_found():
     with pytest.raises(ValueError):
         check_mapping({"a": "b", "b": "a"})
