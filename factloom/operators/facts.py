@@ -16,9 +16,11 @@ def sums_against_totals(facts: DataFrame, keys: list[str], is_total: str = "is_t
 
     They agree within one per cent of the greater, or 1. Without a stated total the sum stands for it.
     """
-    a = facts.groupBy(*keys).agg(F.sum(F.when(~F.col(is_total), F.col(amount))).alias("summed"), F.max(F.when(F.col(is_total), F.col(amount))).alias("stated"), F.count_if(~F.col(is_total)).alias("n_products"))
-    near = F.abs(F.col("summed") - F.col("stated")) <= F.greatest(0.01 * F.greatest(F.abs("summed"), F.abs("stated")), F.lit(1.0))
-    return a.select(*keys, "n_products", F.round("summed", 2).alias("summed"), F.round("stated", 2).alias("stated"), F.round(F.coalesce("stated", "summed"), 2).alias("total"), near.alias("agrees"))
+    exact = F.col(amount).cast("decimal(28,6)")  # sums don't depend on the order of rows
+    a = facts.groupBy(*keys).agg(F.sum(F.when(~F.col(is_total), exact)).alias("summed"), F.max(F.when(F.col(is_total), exact)).alias("stated"), F.count_if(~F.col(is_total)).alias("n_products"))
+    money = lambda c: F.round(c, 2).cast("double")
+    near = F.abs(F.col("summed") - F.col("stated")) <= F.greatest(F.greatest(F.abs("summed"), F.abs("stated")) / 100, F.lit(1))
+    return a.select(*keys, "n_products", money(F.col("summed")).alias("summed"), money(F.col("stated")).alias("stated"), money(F.coalesce("stated", "summed")).alias("total"), near.alias("agrees"))
 
 
 def first_facts(facts: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

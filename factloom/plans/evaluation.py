@@ -322,9 +322,10 @@ o AS (SELECT 'prior_recall' AS strategy, -1.0 AS bound, doc, selected, f1, gt FR
 a AS (SELECT *, CASE WHEN f1 < bound THEN now ELSE gt END AS after FROM o JOIN now USING (doc))
 SELECT strategy, count(*) FILTER (after > now) AS improves, count(*) FILTER (after < now) AS regresses, count(*) FILTER (after = now) AS unchanged, count(*) FILTER (f1 >= bound AND NOT selected AND bound >= 0) AS takeovers FROM a GROUP BY 1""",
     "f_sums_totals": f"""
-SELECT doc, source_code, start_date, end_date, n_products, round(summed, 2) AS summed, round(stated, 2) AS stated, round(coalesce(stated, summed), 2) AS total,
-  abs(summed - stated) <= greatest(0.01 * greatest(abs(summed), abs(stated)), 1.0) AS agrees
-FROM (SELECT doc, source_code, start_date, end_date, sum(amount) FILTER (NOT is_total) AS summed, max(amount) FILTER (is_total) AS stated, count(*) FILTER (NOT is_total) AS n_products FROM {_FACTS} GROUP BY 1, 2, 3, 4)""",
+SELECT doc, source_code, start_date, end_date, n_products, cast(round(summed, 2) AS double) AS summed, cast(round(stated, 2) AS double) AS stated, cast(round(coalesce(stated, summed), 2) AS double) AS total,
+  abs(summed - stated) <= greatest(0.01 * greatest(abs(summed), abs(stated)), 1) AS agrees
+FROM (SELECT doc, source_code, start_date, end_date, sum(x) FILTER (NOT is_total) AS summed, max(x) FILTER (is_total) AS stated, count(*) FILTER (NOT is_total) AS n_products
+  FROM (SELECT *, cast(amount AS decimal(28, 6)) AS x FROM {_FACTS}) GROUP BY 1, 2, 3, 4)""",
     "f_first_facts": f"SELECT doc, {_KEY} AS name_key, start_date, end_date, fact_no, source_code, amount FROM {_FACTS} QUALIFY row_number() OVER (PARTITION BY doc, {_KEY}, start_date, end_date ORDER BY fact_no) = 1",
     "f_records": f"""
 WITH f AS {_FACTS}, m AS (SELECT doc, lower(trim(name)) AS k, start_date, end_date, arg_max(c, fact_no) FILTER (c IS NOT NULL) AS cost, arg_max(g, fact_no) FILTER (g IS NOT NULL) AS gp

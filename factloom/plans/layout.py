@@ -78,7 +78,7 @@ QUERIES = {
 
 _WORDS = r"""(SELECT infocode, page_number, line_id, word_no, word AS text, round(x0 + start * step, 2) AS x0, round(x0 + (start + length(word)) * step, 2) AS x1, top, bottom
   FROM (SELECT *, coalesce(cast(sum(length(word) + 1) OVER (PARTITION BY infocode, page_number, line_id ORDER BY word_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS int), 0) AS start
-    FROM (SELECT infocode, page_number, line_id, x0, top, bottom, (x1 - x0) / length(text) AS step, unnest(parts) AS word, generate_subscripts(parts, 1) - 1 AS word_no
+    FROM (SELECT infocode, page_number, line_id, x0, top, bottom, (x1 - x0) / length(text) AS step, unnest(parts) AS word, cast(generate_subscripts(parts, 1) - 1 AS int) AS word_no
       FROM (SELECT *, regexp_split_to_array(text, '\s+') AS parts FROM doc_lines WHERE infocode IS NOT NULL AND length(text) > 0)))
   WHERE length(word) > 0)"""
 _ROWED = f"""(SELECT *, cast(sum(new) OVER (PARTITION BY infocode, page_number ORDER BY top, x0, line_id, word_no ROWS UNBOUNDED PRECEDING) AS bigint) AS row_no
