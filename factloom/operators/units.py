@@ -193,7 +193,7 @@ def to_common_currency(flat: DataFrame, sources: DataFrame, rates: DataFrame, am
     currency, else in unit, else with the amount, else is the source's default_currency. The product with the
     rate is exact (DECIMAL) and rounded to whole numbers, halves away from zero. A row with an unreadable
     amount, an unknown source and no stated scale, or a currency not in ``rates`` gives no row; nor does a
-    value of 20 or more whole digits. ``sources`` and ``rates`` are fixed lists and are broadcast.
+    value of 17 or more whole digits. ``sources`` and ``rates`` are fixed lists and are broadcast.
     """
     src = F.broadcast(sources.select("source_code", "default_unit", "default_currency"))
     rate = F.broadcast(rates.select(F.col("currency_code"), F.col("hkd_rate").cast("decimal(12,4)").alias("hkd_rate")))
@@ -205,10 +205,10 @@ def to_common_currency(flat: DataFrame, sources: DataFrame, rates: DataFrame, am
         .select("row_id", F.coalesce("m.currency", "default_currency").alias("currency_code"), F.coalesce("m.scale", default).alias("scale"), F.col("m.amount").alias("amount"))
         .join(rate, "currency_code")
     )
-    value = F.expr("try_cast(amount as decimal(26,8))")
-    power = _power_of_ten(F.col("scale"))
-    exact = (value * power).cast("decimal(26,8)")
-    hkd = F.round((exact * F.col("hkd_rate")).cast("decimal(38,10)"), 0)
+    # 14 decimals before the scale is applied and 8 after it: no product loses a digit
+    value = F.col("amount").try_cast("decimal(30,14)")
+    exact = (value * _power_of_ten(F.col("scale"))).try_cast("decimal(24,8)")
+    hkd = F.round(exact * F.col("hkd_rate"), 0)
     return df.select("row_id", "currency_code", hkd.cast("bigint").alias("amount_hkd")).where(F.col("amount_hkd").isNotNull())
 
 

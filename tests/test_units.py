@@ -60,5 +60,10 @@ def test_order_of_sources_and_rounding(spark):
     }
 
 
+def test_many_decimals_and_digits(spark):
+    got = _run(spark, [("USA", "0.019288791", "bn", "USD"), ("USA", "0.0000000004", "bn", "HKD"), ("USA", "1234567890123456", "001", "HKD"), ("USA", "99999999999999999999", "001", "HKD"), ("USA", "9" * 60, "004", "HKD")])
+    assert got == {0: ("USD", 150477645), 1: ("HKD", 0), 2: ("HKD", 1234567890123456)}
+
+
 def test_empty(spark):
     assert _run(spark, [(None, None, None, None)]) == {}
