@@ -408,10 +408,11 @@ STRATEGIES = {"product_in_columns": facts_by_columns, "product_in_rows": facts_b
 
 
 def grid_facts(grids: DataFrame) -> DataFrame:
-    """Facts of all grids: (table_id, fact_no, product_name, amount, start_date, end_date).
+    """Facts of all grids: (table_id, fact_no, product_name, amount, start_date, end_date, error).
 
-    ``grids`` has table_id, grid, classification, names, period_text, period_end, period_months. A grid of no
-    known class, a null grid and one that can't be read give no fact; none can fail the others (C5).
+    ``grids`` has table_id, grid, classification, names, period_text, period_end, period_months (12 for null).
+    A grid of no known class and a null grid give no row; one that can't be read gives a row with the error
+    alone, and fails no other (C5).
     """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -423,9 +424,14 @@ def grid_facts(grids: DataFrame) -> DataFrame:
                     continue
                 rows = [[str(x) if x is not None else "" for x in row] for row in r.grid if row is not None]
                 names = [x for x in (r.names if r.names is not None else []) if x]
-                facts = strategy(Reading(rows, names, r.period_text or "", r.period_end if isinstance(r.period_end, date) else None, int(r.period_months)))
-                out += [(r.table_id, k, *f) for k, f in enumerate(facts)]
-            yield pd.DataFrame(out, columns=["table_id", "fact_no", "product_name", "amount", "start_date", "end_date"])
+                months = 12 if pd.isna(r.period_months) else int(r.period_months)
+                try:
+                    facts = strategy(Reading(rows, names, r.period_text or "", r.period_end if isinstance(r.period_end, date) else None, months))
+                except (ValueError, OverflowError, IndexError, TypeError, AttributeError) as e:
+                    out.append((r.table_id, 0, None, None, None, None, f"{type(e).__name__}: {e}"))
+                    continue
+                out += [(r.table_id, k, *f, None) for k, f in enumerate(facts)]
+            yield pd.DataFrame(out, columns=["table_id", "fact_no", "product_name", "amount", "start_date", "end_date", "error"])
 
     columns = grids.select("table_id", "grid", "classification", "names", "period_text", "period_end", "period_months")
-    return columns.mapInPandas(read, "table_id string, fact_no int, product_name string, amount double, start_date date, end_date date")
+    return columns.mapInPandas(read, "table_id string, fact_no int, product_name string, amount double, start_date date, end_date date, error string")

@@ -76,9 +76,11 @@ def test_classes(spark, grid, title, names, want):
 
 
 def test_grid_facts_survive_bad_rows(spark):
-    rows = [("a", [["", "2024年"], ["酒店甲", "5"]], "product_in_columns", ["酒店甲"], PERIOD, date(2024, 12, 31), 12), ("b", None, "product_in_columns", None, None, None, 12), ("c", [[None]], "nothing", [], None, None, 12)]
+    rows = [("a", [["", "2024年"], ["酒店甲", "5"]], "product_in_columns", ["酒店甲"], PERIOD, date(2024, 12, 31), None), ("e", [["", "2024年"], ["酒店甲", "5"]], "product_in_columns", [], PERIOD, date(2024, 12, 31), 100_000), ("b", None, "product_in_columns", None, None, None, 12), ("c", [[None]], "nothing", [], None, None, 12)]
     df = spark.createDataFrame(rows, "table_id string, grid array<array<string>>, classification string, names array<string>, period_text string, period_end date, period_months int")
-    assert {r.table_id for r in gr.grid_facts(df).collect()} == {"a"}
+    got = gr.grid_facts(df).collect()
+    assert {r.table_id for r in got if r.error is None} == {"a"}
+    assert [(r.table_id, r.product_name) for r in got if r.error] == [("e", None)]
     assert gr.grid_facts(df.limit(0)).count() == 0
 
 
