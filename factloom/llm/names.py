@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.tables import shuffle_partitions
+from ..sources.tables import shared_dir, shuffle_partitions
 from .lookalike import transducer
 
 # Traditional characters and their simplified forms, as used in names of products.
@@ -37,6 +37,8 @@ HAN_DECORATIONS = ("外部客户", "及其他", "其中", "来自", "销售", "
 
 #: Least Jaccard similarity of a part and a listed name.
 THRESHOLD = 0.4
+#: Most forms of the list (with its recombinations) whose index is broadcast; a larger one is joined by shuffling tokens.
+BROADCAST_FORMS = 100_000
 #: Least agreement by edit distance of the best candidate, for Chinese and for Latin parts.
 AGREEMENT = (0.55, 0.7)
 
@@ -213,11 +215,11 @@ def _prefix(size: Column, threshold: float) -> Column:
     return (size - F.ceil(size * threshold - 1e-9) + 1).cast("int")
 
 
-def similar_pairs(parts: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def similar_pairs(parts: DataFrame, forms: DataFrame, threshold: float = THRESHOLD, small: bool = True) -> DataFrame:
     """(part, form_id, jaccard) of all parts and forms at or above ``threshold``; both have ranked ``tokens``.
 
     The join is exact: pairs are lost by no filter. ``forms`` is the reference list with its recombinations;
-    its prefixes are broadcast, their number being bounded by the list, not by the names. Tokens that the list
+    when it is ``small`` its prefixes are broadcast, else both sides are shuffled by token. Tokens that the list
     doesn't have can't match: they count for a part's size and take up its prefix. A pair is verified where its
     first common token is met, so once.
     """
@@ -227,7 +229,7 @@ def similar_pairs(parts: DataFrame, forms: DataFrame, threshold: float = THRESHO
     alike = (F.col("ny") >= F.col("nx") * threshold - 1e-9) & (F.col("nx") >= F.col("ny") * threshold - 1e-9)
     need = F.ceil((F.col("nx") + F.col("ny")) * (threshold / (1 + threshold)) - 1e-9)
     reach = 1 + F.least(F.col("nx") - F.col("i") - 1, F.col("ny") - F.col("j") - 1) >= need
-    near = rare.join(F.broadcast(index), "token").where(alike & reach)
+    near = rare.join(F.broadcast(index) if small else index, "token").where(alike & reach)
     common = F.array_intersect("tokens", "ytokens")
     met = near.select("part", "form_id", "token", (F.col("nx") + F.col("ny")).alias("both"), common.alias("common")).where(F.get("common", F.lit(0)) == F.col("token"))
     return met.select("part", "form_id", (F.size("common") / (F.col("both") - F.size("common"))).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-9)
@@ -272,10 +274,12 @@ def map_names(names: DataFrame, name: str, ref: DataFrame) -> DataFrame:
 
     blank = F.col("name").rlike(r"^[\s\u00a0\u2000-\u200a\u202f\u205f\u3000]*$")
     distinct = names.select(F.col(name).alias("name")).where(F.col("name").isNotNull() & ~blank).distinct()
-    cut = distinct.select("name", F.explode_outer(parts_of("name")).alias("p")).select("name", "p.part", "p.tokens")
+    shared_dir(spark)
+    # Used twice below: kept in the shared folder, names are read and cleaned once.
+    cut = distinct.select("name", F.explode_outer(parts_of("name")).alias("p")).select("name", "p.part", "p.tokens").checkpoint()
     # Few bytes, much work: the parts are spread over all tasks, whatever their size.
     parts = cut.where("part is not null").groupBy("part").agg(F.first("tokens").alias("tokens")).repartition(2 * shuffle_partitions(spark))
-    pairs = similar_pairs(parts, forms)
+    pairs = similar_pairs(parts, forms, small=len(form_list) <= BROADCAST_FORMS)
     # Candidates far below a part's best can't win and aren't carried along; the rest is bounded by the list.
     best = pairs.groupBy("part").agg(F.max("jaccard").alias("top"), F.collect_list(F.struct("form_id", "jaccard")).alias("all"))
     near = best.select("part", F.expr("filter(all, c -> c.jaccard >= top - 0.25)").alias("near"))
