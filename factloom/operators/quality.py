@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import shared_dir
 from .linkage import contained_names, greedy_pairs, signature
 
 
@@ -12,13 +13,37 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def compare_documents(exp: DataFrame, pred: DataFrame, pairs: DataFrame, fields: list[str], tolerance: float = 1e-4) -> DataFrame:
+def forgiven_extras(exp: DataFrame, pred: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, doc) of predicted rows without a pair whose product is expected, but in other periods only.
+
+    A product is expected under any name that contains its own or is contained in it, and under the names (and
+    those that contain them or are contained in them) of the expected rows that rows of its name are paired with.
+    Both sides have product, the name as written but for white space, besides the columns of ``pair_rows``.
+    """
+    shared_dir(exp.sparkSession)
+    # names of dashes alone match each other; the mark stands for them since no other name contains it
+    key = F.when(F.length("name") == 0, "\u0001").otherwise(F.col("name"))
+    named = lambda df: df.where(F.length("product") > 0).select("id", "doc", "product", key.alias("name"), "start_date", "end_date")
+    e, p = named(exp), named(pred)
+    extra = p.join(pairs, p["id"] == pairs["pred_id"], "left_anti").checkpoint()
+    products = extra.select("doc", "product").distinct()
+    aliases = pairs.join(e.select(F.col("id").alias("exp_id"), F.col("name").alias("term")), "exp_id").join(p.select(F.col("id").alias("pred_id"), "doc", "product"), "pred_id").select("doc", "product", "term")
+    terms = extra.select("doc", "product", F.col("name").alias("term")).union(aliases.join(products, ["doc", "product"], "left_semi")).distinct()
+    whole = lambda df, c: df.select("doc", F.lit("").alias("start_date"), F.lit("").alias("end_date"), F.col(c).alias("name"), F.struct("doc", F.col(c).alias("name")).alias("id")).distinct()
+    near = contained_names(whole(e, "name"), whole(terms, "term")).select("exp_id.doc", F.col("exp_id.name").alias("known"), F.col("pred_id.name").alias("term"))
+    known = terms.join(near, ["doc", "term"]).select("doc", "product", "known").distinct().checkpoint()
+    told = known.join(e.select("doc", F.col("name").alias("known"), "start_date", "end_date").distinct(), ["doc", "known"]).select("doc", "product", "start_date", "end_date").distinct()
+    return extra.join(known.select("doc", "product"), ["doc", "product"], "left_semi").join(told, ["doc", "product", "start_date", "end_date"], "left_anti").select("id", "doc")
+
+
+def compare_documents(exp: DataFrame, pred: DataFrame, pairs: DataFrame, fields: list[str], tolerance: float = 1e-4, containment: bool = False) -> DataFrame:
     """Counts, field agreement and rates of each document on either side.
 
     A field differs when the expected value isn't null (F20) and its signature isn't the predicted one's. A
     pair without a difference is matched, else wrong; expected rows without a pair are missing, predicted ones
     extra. An extra row is forgiven (J15) when its product is among the expected ones of its document but not
-    in its period: a period the expectation left out.
+    in its period: a period the expectation left out. Products are the same when their names are equal, with
+    ``containment`` as in ``forgiven_extras``.
     """
     e = exp.select(F.col("id").alias("exp_id"), F.col("doc").alias("e_doc"), *[F.col(f).alias(f"e_{f}") for f in fields])
     p = pred.select(F.col("id").alias("pred_id"), *[F.col(f).alias(f"p_{f}") for f in fields])
@@ -29,9 +54,13 @@ def compare_documents(exp: DataFrame, pred: DataFrame, pairs: DataFrame, fields:
     paired = both.groupBy("doc").agg(F.count_if(n_bad == 0).alias("matched"), F.count_if(n_bad > 0).alias("wrong"), *[F.sum(f"bad_{f}").alias(f"bad_{f}") for f in fields])
     missing = exp.join(pairs, exp["id"] == pairs["exp_id"], "left_anti").groupBy("doc").agg(F.count("*").alias("missing"))
     extra = pred.join(pairs, pred["id"] == pairs["pred_id"], "left_anti")
-    products = exp.select("doc", "name").distinct()
-    periods = exp.select("doc", "name", "start_date", "end_date").distinct()
-    forgiven = extra.where(F.length("name") > 0).join(products, ["doc", "name"], "left_semi").join(periods, ["doc", "name", "start_date", "end_date"], "left_anti").groupBy("doc").agg(F.count("*").alias("forgiven"))
+    if containment:
+        forgiven = forgiven_extras(exp, pred, pairs)
+    else:
+        products = exp.select("doc", "name").distinct()
+        periods = exp.select("doc", "name", "start_date", "end_date").distinct()
+        forgiven = extra.where(F.length("name") > 0).join(products, ["doc", "name"], "left_semi").join(periods, ["doc", "name", "start_date", "end_date"], "left_anti")
+    forgiven = forgiven.groupBy("doc").agg(F.count("*").alias("forgiven"))
     n_exp, n_pred = exp.groupBy("doc").agg(F.count("*").alias("expected")), pred.groupBy("doc").agg(F.count("*").alias("predicted"))
     docs = n_exp.join(n_pred, "doc", "full_outer").join(paired, "doc", "left").join(missing, "doc", "left").join(extra.groupBy("doc").agg(F.count("*").alias("extra")), "doc", "left").join(forgiven, "doc", "left")
     docs = docs.fillna(0)

@@ -11,7 +11,7 @@ from ..functions import text as t
 from ..operators import facts as fa
 from ..operators import linkage as li
 from ..operators import quality as qu
-from ..sources.tables import table
+from ..sources.tables import shared_dir, table
 from . import scalars as sc
 
 FIELDS = ("currency", "mbrevenue", "mbcost", "gross_profit", "unit")
@@ -24,7 +24,7 @@ def _rows(spark: SparkSession, data_dir: str, source: str) -> DataFrame:
     anchored = F.coalesce(*[n.to_double(F.col(f)) for f in ("mbrevenue", "mbcost", "gross_profit")]).isNotNull()
     day = lambda c: F.coalesce(p.business_date(F.col(c)).cast("string"), F.lit(""))
     return flat.select(
-        F.col("row_id").alias("id"), F.col("infocode").alias("doc"), day("startdate").alias("start_date"), day("reportdate").alias("end_date"), F.coalesce(t.match_key(F.col("productname")), F.lit("")).alias("name"),
+        F.col("row_id").alias("id"), F.col("infocode").alias("doc"), day("startdate").alias("start_date"), day("reportdate").alias("end_date"), F.coalesce(t.match_key(F.col("productname")), F.lit("")).alias("name"), F.coalesce(t.squeeze(F.col("productname")), F.lit("")).alias("product"),
         anchored.alias("anchored"), F.concat_ws("|", *[li.signature(F.col(f)) for f in FIELDS]).alias("values"), *FIELDS,
     )
 
@@ -33,6 +33,13 @@ def _sides(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
     return _rows(spark, data_dir, EXPECTED), _rows(spark, data_dir, PREDICTED)
 
 
+def _kept_sides(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides, kept for the many steps that use them."""
+    shared_dir(spark)
+    exp, pred = _sides(spark, data_dir)
+    return exp.checkpoint(), pred.checkpoint()
+
+
 def signatures(spark: SparkSession, data_dir: str) -> DataFrame:
     """X22 of all value fields of the whole flat export."""
     return table(spark, data_dir, "flat_export").select("row_id", *[li.signature(F.col(f)).alias(f) for f in FIELDS])
@@ -48,30 +55,56 @@ def pairs(spark: SparkSession, data_dir: str) -> DataFrame:
     return li.pair_rows(*_sides(spark, data_dir))
 
 
-def unpaired(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Expected rows without a predicted one and the other way round."""
-    exp, pred = _sides(spark, data_dir)
-    made = li.pair_rows(exp, pred, containment=False)
+def _unpaired(exp: DataFrame, pred: DataFrame, made: DataFrame) -> DataFrame:
     missing = exp.join(made, exp["id"] == made["exp_id"], "left_anti").select(F.lit("missing").alias("kind"), "id")
     return missing.union(pred.join(made, pred["id"] == made["pred_id"], "left_anti").select(F.lit("extra").alias("kind"), "id"))
 
 
+def unpaired(spark: SparkSession, data_dir: str) -> DataFrame:
+    """J13 after pairs by equal names and values only: expected rows without a predicted one and the other way round."""
+    exp, pred = _sides(spark, data_dir)
+    return _unpaired(exp, pred, li.pair_rows(exp, pred, containment=False))
+
+
 def compare_docs(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Quality of each document."""
+    """A11, J15 on equal names only: quality of each document."""
     exp, pred = _sides(spark, data_dir)
     return qu.compare_documents(exp, pred, li.pair_rows(exp, pred, containment=False), list(FIELDS))
 
 
 def compare_corpus(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Quality over all documents."""
+    """A12 on equal names only: quality over all documents."""
     return qu.corpus_quality(compare_docs(spark, data_dir))
 
 
 def compare_fields(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Agreement by field."""
+    """A12 on equal names only: agreement by field."""
     return qu.field_quality(compare_docs(spark, data_dir), list(FIELDS))
 
 
+def unpaired_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+    """J13 after J10 to J12: expected rows without a predicted one and the other way round."""
+    exp, pred = _kept_sides(spark, data_dir)
+    return _unpaired(exp, pred, li.pair_rows(exp, pred))
+
+
+def compare_docs_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A11, J15 after J10 to J12: quality of each document, names that contain each other counting as one product."""
+    exp, pred = _kept_sides(spark, data_dir)
+    # several steps use the pairs
+    return qu.compare_documents(exp, pred, li.pair_rows(exp, pred).checkpoint(), list(FIELDS), containment=True)
+
+
+def compare_corpus_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A12 after J10 to J12: quality over all documents."""
+    return qu.corpus_quality(compare_docs_contained(spark, data_dir))
+
+
+def compare_fields_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+    """A12 after J10 to J12: agreement by field."""
+    return qu.field_quality(compare_docs_contained(spark, data_dir), list(FIELDS))
+
+
 def amounts_covered(spark: SparkSession, data_dir: str) -> DataFrame:
     """Documents whose expected amounts are all among the predicted."""
     exp, pred = _sides(spark, data_dir)
@@ -179,6 +212,7 @@ def first_per_product(spark: SparkSession, data_dir: str) -> DataFrame:
 QUERIES = {
     "c_simple_compare": simple_compare, "c_continuity": continuity, "c_first_per_product": first_per_product,
     "c_signatures": signatures, "c_pairs_exact": pairs_exact, "c_pairs": pairs, "c_unpaired": unpaired, "c_compare_docs": compare_docs, "c_compare_corpus": compare_corpus, "c_compare_fields": compare_fields,
+    "c_unpaired_contained": unpaired_contained, "c_compare_docs_contained": compare_docs_contained, "c_compare_corpus_contained": compare_corpus_contained, "c_compare_fields_contained": compare_fields_contained,
     "c_amounts_covered": amounts_covered, "c_values_located": values_located, "c_dominant_currency": dominant_currency, "c_matching_sizes": matching_sizes, "c_strategies": strategies,
     "f_sums_totals": sums_totals, "f_first_facts": first_facts, "f_merged_tables": merged_tables, "f_records": records, "f_enriched": enriched, "f_prior_context": prior_context,
 }
