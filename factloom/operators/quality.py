@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import shared_dir
-from .linkage import contained_names, greedy_pairs, signature
+from .linkage import contained_names, greedy_pairs, matched_names, signature
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -191,3 +191,69 @@ def continuity(prior: DataFrame, now: DataFrame) -> DataFrame:
         F.count_if(F.col("common") < F.col("b_n")).alias("with_additions"), F.count_if(F.col("common") < F.col("a_n")).alias("with_removals"), same("currency"), same("unit"),
         F.count_if(F.col("a_month_day").isNotNull() & (F.col("a_month_day") == F.col("b_month_day"))).alias("month_day_stable"),
     )
+
+
+def _identities(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, names): the distinct names, null and empty ones left out; a key with none has an empty array."""
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(F.nullif(F.col("name"), F.lit("")))).alias("names"))
+
+
+def continuity_matched(prior: DataFrame, now: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """One row on how stable documents are from one side to the other, names matched by likeness.
+
+    Both sides: doc, at (order of rows), name (normalised; null or empty where a row names no product),
+    currency, unit, month_day. All documents on both sides count, named products or not. Of values equally
+    common the first counts.
+    """
+    values = ("currency", "unit", "month_day")
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        out = _identities(df, "doc").withColumnRenamed("names", tag)
+        for c in values:
+            counts = df.where(F.col(c).cast("string") != "").groupBy("doc", c).agg(F.count("*").alias("n"), F.min("at").alias("at"))
+            out = out.join(counts.groupBy("doc").agg(F.max_by(c, F.struct("n", -F.col("at"))).alias(f"{tag}_{c}")), "doc", "left")
+        return out
+
+    both = side(prior, "a").join(side(now, "b"), "doc")
+    both = both.withColumn("matched", matched_names(F.col("b"), F.col("a"), threshold)).withColumn("n_a", F.size("a").cast("long")).withColumn("n_b", F.size("b").cast("long"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    whole = F.col("matched") == F.col("n_b")
+    return both.agg(
+        F.count("*").alias("documents"), total("n_a").alias("prior_names"), total("n_b").alias("names"), F.count_if(F.col("a") == F.col("b")).alias("same_sets"), F.count_if(F.col("n_a") == F.col("n_b")).alias("same_counts"),
+        total("matched").alias("matched_names"), F.round(_ratio(total("matched"), total("n_b")), 6).alias("identity_recall"), F.count_if(whole).alias("all_matched"), F.count_if(whole & (F.col("n_a") == F.col("n_b"))).alias("bijections"),
+        F.count_if(F.col("matched") < F.col("n_b")).alias("with_additions"), F.count_if(F.col("matched") < F.col("n_a")).alias("with_removals"),
+        *[F.count_if(F.coalesce(F.col(f"a_{c}"), F.lit("")) == F.coalesce(F.col(f"b_{c}"), F.lit(""))).alias(f"{c}_stable") for c in ("currency", "unit")], F.count_if(F.col("a_month_day") == F.col("b_month_day")).alias("month_day_stable"),
+    )
+
+
+def matched_candidates(rows: DataFrame, prior: DataFrame, truth: DataFrame, selected: str, threshold: float = 0.7) -> DataFrame:
+    """The candidates of ``strategy_choices`` from names (doc, source, name) matched by likeness.
+
+    A document counts when prior, truth and at least two different candidates name products. Of sources with
+    equal names one counts: the selected, else the first. ``source`` is the rank from the last, so that the
+    greatest is the first.
+    """
+    c = _identities(rows, "doc", "source").where(F.size("names") > 0)
+    first = F.min(F.struct((F.col("source") != selected).alias("other"), "source")).alias("s")
+    c = c.groupBy("doc", "names").agg(first).select("doc", "names", "s.source", (~F.col("s.other")).alias("selected"))
+    named = lambda df, tag: _identities(df, "doc").where(F.size("names") > 0).withColumnRenamed("names", tag)
+    c = c.join(named(prior, "p"), "doc").join(named(truth, "g"), "doc")
+    w = Window.partitionBy("doc")
+    c = c.withColumn("n", F.count("*").over(w)).withColumn("source", -F.row_number().over(w.orderBy("source"))).where("n > 1")
+    size = lambda x: F.size(x).cast("long")
+    return c.select("doc", "source", "selected", size("names").alias("n_names"), size("p").alias("n_prior"), size("g").alias("n_gt"), matched_names(F.col("p"), F.col("names"), threshold).alias("matched_prior"), matched_names(F.col("g"), F.col("names"), threshold).alias("matched_gt"))
+
+
+def conflicts(candidates: DataFrame, doc: str) -> DataFrame:
+    """One row on the documents with several candidates, the best by recall of prior names taken together.
+
+    Counted are documents whose selected candidate is the truth, those where one of the best is, and those
+    where the best of these covers more or less of the truth than the selected.
+    """
+    truth = (F.col("matched_gt") == F.col("n_gt")) & (F.col("n_gt") == F.col("n_names"))
+    c = candidates.select(doc, "selected", _ratio(F.col("matched_prior"), F.col("n_prior")).alias("recall"), _ratio(F.col("matched_gt"), F.col("n_gt")).alias("gt"), truth.alias("truth"))
+    c = c.withColumn("top", F.col("recall") == F.max("recall").over(Window.partitionBy(doc)))
+    d = c.groupBy(doc).agg(
+        F.coalesce(F.max(F.when(F.col("selected"), F.col("gt"))), F.lit(0.0)).alias("now"), F.max(F.when(F.col("top"), F.col("gt"))).alias("best"), F.max(F.col("selected") & F.col("truth")).alias("selected_true"), F.max(F.col("top") & F.col("truth")).alias("top_true"),
+    )
+    return d.agg(F.count("*").alias("documents"), F.count_if("selected_true").alias("selected_true"), F.count_if("top_true").alias("top_true"), F.count_if(F.col("best") > F.col("now")).alias("improves"), F.count_if(F.col("best") < F.col("now")).alias("regresses"))

@@ -131,7 +131,7 @@ def matching_sizes(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def strategies(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Which source's names would stand for a filing, by agreement with a prior source's."""
+    """A16, C10 on equal names only: which source's names would stand for a filing, by agreement with a prior source's."""
     names = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "").select(F.col("infocode").alias("doc"), F.col("source_code").alias("source"), t.name_key(F.col("productname")).alias("name")).where(F.length("name") > 0).distinct()
     of = lambda s, c: names.where(F.col("source") == s).select("doc", "name").withColumn(c, F.lit(1))
     count = lambda s, c: names.where(F.col("source") == s).groupBy("doc").agg(F.count("*").alias(c))
@@ -196,13 +196,47 @@ def simple_compare(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def continuity(spark: SparkSession, data_dir: str) -> DataFrame:
-    """How stable names, currencies, units and fiscal days are between two sources."""
+    """A15, A23, J17 on equal names and month-days as written: how stable two sources are."""
     flat = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "")
     month_day = F.nullif(F.regexp_extract("reportdate", r"\d{4}[-/](\d{1,2}[-/]\d{1,2})", 1), F.lit(""))
     rows = flat.select("source_code", F.col("infocode").alias("doc"), t.strong_name(F.col("productname")).alias("name"), "currency", "unit", month_day.alias("month_day")).where(~F.col("name").isin("合计", "合計", "总计", "總計", "总额", "總額", "total"))
     return qu.continuity(rows.where(F.col("source_code") == EXPECTED), rows.where(F.col("source_code") == PREDICTED))
 
 
+TOTAL_NAMES = ("合计", "合計", "总计", "總計", "总额", "總額", "total")
+
+
+def _identity_rows(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Rows of the flat export with their normalised name, null for totals, and the local month and day as a number."""
+    name = t.strong_name(F.col("productname"))
+    day = F.when(F.col("reportdate").rlike(r"^\S*T\S*$"), p.business_date(F.col("reportdate"), "+08:00"))
+    written = lambda k: F.nullif(F.regexp_extract("reportdate", r"\d{4}[-/](\d{1,2})[-/](\d{1,2})", k), F.lit("")).cast("int")
+    month_day = F.coalesce(F.month(day) * 100 + F.dayofmonth(day), written(1) * 100 + written(2))
+    flat = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "")
+    return flat.select("source_code", F.col("source_code").alias("source"), F.col("infocode").alias("doc"), F.col("row_id").alias("at"), F.when(~name.isin(*TOTAL_NAMES), name).alias("name"), "currency", "unit", month_day.alias("month_day"))
+
+
+def continuity_matched(spark: SparkSession, data_dir: str) -> DataFrame:
+    """How stable names, currencies, units and local fiscal days are between two sources."""
+    rows = _identity_rows(spark, data_dir)
+    return qu.continuity_matched(rows.where(F.col("source_code") == EXPECTED), rows.where(F.col("source_code") == PREDICTED))
+
+
+def _candidates(spark: SparkSession, data_dir: str) -> DataFrame:
+    rows = _identity_rows(spark, data_dir).select("doc", "source", "name")
+    return qu.matched_candidates(rows, rows.where(F.col("source") == EXPECTED), rows.where(F.col("source") == PREDICTED), "LDN")
+
+
+def strategies_matched(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Which source's names would stand for a filing, by likeness to a prior source's."""
+    return qu.strategy_choices(_candidates(spark, data_dir), "doc")
+
+
+def conflicts_matched(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Filings that several sources name differently, and how the likest to the prior source do."""
+    return qu.conflicts(_candidates(spark, data_dir), "doc")
+
+
 def first_per_product(spark: SparkSession, data_dir: str) -> DataFrame:
     """The first row of each product of a filing."""
     f = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "").select("infocode", t.name_key(F.col("productname")).alias("name_key"), "row_id", "mbrevenue").where(F.length("name_key") > 0)
@@ -213,6 +247,7 @@ QUERIES = {
     "c_simple_compare": simple_compare, "c_continuity": continuity, "c_first_per_product": first_per_product,
     "c_signatures": signatures, "c_pairs_exact": pairs_exact, "c_pairs": pairs, "c_unpaired": unpaired, "c_compare_docs": compare_docs, "c_compare_corpus": compare_corpus, "c_compare_fields": compare_fields,
     "c_unpaired_contained": unpaired_contained, "c_compare_docs_contained": compare_docs_contained, "c_compare_corpus_contained": compare_corpus_contained, "c_compare_fields_contained": compare_fields_contained,
+    "c_continuity_matched": continuity_matched, "c_strategies_matched": strategies_matched, "c_conflicts_matched": conflicts_matched,
     "c_amounts_covered": amounts_covered, "c_values_located": values_located, "c_dominant_currency": dominant_currency, "c_matching_sizes": matching_sizes, "c_strategies": strategies,
     "f_sums_totals": sums_totals, "f_first_facts": first_facts, "f_merged_tables": merged_tables, "f_records": records, "f_enriched": enriched, "f_prior_context": prior_context,
 }

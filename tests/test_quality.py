@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+from factloom.operators.linkage import similarity
 from factloom.plans import registry
 
 VALUES = ("currency", "mbrevenue", "mbcost", "gross_profit", "unit")
@@ -106,3 +107,77 @@ def test_compared_by_contained_names(spark, tmp_path):
             assert total[k] == sum(w[k] for w in want.values())
         assert {r.field: r.bad for r in q["c_compare_fields_contained"](spark, data).collect()} == {f: sum(w["bad"][f] for w in want.values()) for f in VALUES}
     assert some_forgiven
+
+
+def _largest(left, right):
+    """Size of a largest matching of names at least 0.7 alike, by trying all."""
+    if not left:
+        return 0
+    rest = _largest(left[1:], right)
+    return max([rest, *(1 + _largest(left[1:], right[:j] + right[j + 1 :]) for j, r in enumerate(right) if similarity(left[0], r) >= 0.7)])
+
+
+def _commonest(values):
+    kept = [v for v in values if v]
+    return max(kept, key=lambda v: (kept.count(v), -kept.index(v)), default="")
+
+
+def test_continuity_and_strategies_by_matching(spark, tmp_path):
+    rng = random.Random(5)
+    days = {"2024-06-30T16:00:00.000Z": (7, 1), "2024-07-01": (7, 1), "2024/7/1": (7, 1), "2024-06-30": (6, 30), "": None, "2024-06-30T16:00:00": (6, 30)}
+    base = ["酒店服務業務甲乙丙", "物流服務", "電池材料收入", "Total", "合計"]
+    rows = [
+        {"row_id": i, "source_code": rng.choice(["HKF", "SHD", "LDN", "ASH"]), "infocode": f"d{rng.randint(0, 9)}", "productname": rng.choice(base)[: rng.randint(2, 9)] + rng.choice(["", "丁", "（附註3）"]), "startdate": None,
+         "reportdate": rng.choice(list(days)), "currency": rng.choice(["港元", "人民币", None]), "mbrevenue": "1", "mbcost": None, "gross_profit": None, "unit": rng.choice(["千元", "", "元"])}
+        for i in range(110)
+    ] + [dict.fromkeys(COLUMNS) | {"row_id": 200 + k, "source_code": s, "infocode": "totals", "productname": "合計"} for k, s in enumerate(("HKF", "SHD"))]
+    data, q = _export(spark, tmp_path, rows), registry.queries()
+    names = lambda doc, s: sorted({n for r in rows if (r["infocode"], r["source_code"]) == (doc, s) and (n := r["productname"].replace("（附註3）", "").lower().translate(str.maketrans("務業電", "务业电"))) not in ("total", "合計")})
+    docs = sorted({r["infocode"] for r in rows})
+    of = lambda doc, s, f: [r[f] for r in rows if (r["infocode"], r["source_code"]) == (doc, s)]
+    both = [d for d in docs if of(d, "HKF", "row_id") and of(d, "SHD", "row_id")]
+    at = [(names(d, "HKF"), names(d, "SHD"), d) for d in both]
+    sizes = [_largest(b, a) for a, b, _ in at]
+    got = q["c_continuity_matched"](spark, data).first()
+    assert (got.documents, got.prior_names, got.names, got.matched_names) == (len(at), sum(len(a) for a, _, _ in at), sum(len(b) for _, b, _ in at), sum(sizes))
+    assert got.identity_recall == round(sum(sizes) / got.names, 6)
+    assert (got.same_sets, got.same_counts) == (sum(a == b for a, b, _ in at), sum(len(a) == len(b) for a, b, _ in at))
+    zipped = list(zip(sizes, at, strict=True))
+    assert (got.all_matched, got.bijections) == (sum(m == len(b) for m, (_, b, _) in zipped), sum(m == len(a) == len(b) for m, (a, b, _) in zipped))
+    assert (got.with_additions, got.with_removals) == (sum(m < len(b) for m, (_, b, _) in zipped), sum(m < len(a) for m, (a, _, _) in zipped))
+    assert (got.currency_stable, got.unit_stable) == tuple(sum(_commonest(of(d, "HKF", f)) == _commonest(of(d, "SHD", f)) for d in both) for f in ("currency", "unit"))
+    month_day = lambda d, s: _commonest([days.get(x) for x in of(d, s, "reportdate")])
+    assert got.month_day_stable == sum(bool(month_day(d, "HKF")) and month_day(d, "HKF") == month_day(d, "SHD") for d in both)
+
+    want = {k: [0, 0, 0, 0] for k in ("prior_recall", "prior_f1", "guarded_f1_0.5", "guarded_f1_0.6", "guarded_f1_0.7", "guarded_f1_0.8")}
+    conflicts = [0, 0, 0, 0, 0]
+    for prior, truth, d in at:
+        candidates = []
+        for s in ("LDN", "ASH", "HKF", "SHD"):
+            if (v := names(d, s)) and v not in [c for _, c in candidates]:
+                candidates.append((s, v))
+        if len(candidates) < 2 or not prior or not truth:
+            continue
+        scored = []
+        for s, v in candidates:
+            m = _largest(prior, v)
+            r, pr = m / len(prior), m / len(v)
+            g = _largest(truth, v)
+            scored.append({"s": s == "LDN", "prior_recall": r, "prior_f1": 2 * r * pr / (r + pr) if r + pr else 0.0, "gt": g / len(truth), "is": g == len(truth) == len(v)})
+        now = max((c["gt"] for c in scored if c["s"]), default=0.0)
+        top = [c for c in scored if c["prior_recall"] == max(x["prior_recall"] for x in scored)]
+        best = max(c["gt"] for c in top)
+        for k, hit in enumerate((True, any(c["s"] and c["is"] for c in scored), any(c["is"] for c in top), best > now, best < now)):
+            conflicts[k] += hit
+        for k, w in want.items():
+            by = "prior_f1" if k.startswith("guarded") else k
+            chosen = max(scored, key=lambda c: (c[by], c["s"]))
+            guarded, held = k.startswith("guarded"), k.startswith("guarded") and chosen["prior_f1"] < float(k[-3:])
+            after = now if held else chosen["gt"]
+            w[0] += after > now
+            w[1] += after < now
+            w[2] += after == now
+            w[3] += guarded and not held and not chosen["s"]
+    assert {r.strategy: [r.improves, r.regresses, r.unchanged, r.takeovers] for r in q["c_strategies_matched"](spark, data).collect()} == want
+    assert list(q["c_conflicts_matched"](spark, data).first()) == conflicts
+    assert conflicts[0]
