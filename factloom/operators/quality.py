@@ -170,6 +170,34 @@ def simple_compare(exp: DataFrame, pred: DataFrame, tolerance: float = 0.01, con
     return left.select("doc", "name", state.alias("state")).unionByName(extra)
 
 
+def compare_products(exp: DataFrame, pred: DataFrame, amounts: list[str], tolerance: float = 0.01) -> DataFrame:
+    """(doc, name, state, near, bad_…) of products by name alone, whatever the period, on several amounts.
+
+    Of several rows of a name the last by id counts, in the place of the first. An expected name without an equal
+    one is given the first predicted name that contains it or that it contains; ``near`` is that name, and a
+    predicted name may serve several. An amount is bad when it is expected and the other is null or further away
+    than ``tolerance``; an expected amount of up to 0.01 is bad only against a null. Predicted names that serve
+    none are 'extra'. Rows: doc, id, name and the amounts; an empty name is none.
+    """
+    last = lambda df: df.where(F.length("name") > 0).groupBy("doc", "name").agg(*[F.max_by(a, "id").alias(a) for a in amounts], F.min("id").alias("id"))
+    a, b = last(exp), last(pred)
+    equal = a.select("doc", "name", F.col("id").alias("exp_id")).join(b.select("doc", "name", F.col("id").alias("pred_id")), ["doc", "name"]).select("exp_id", "pred_id")
+    at = lambda df: df.select("doc", F.lit("").alias("start_date"), F.lit("").alias("end_date"), "name", "id")
+    left = a.join(equal, a["id"] == equal["exp_id"], "left_anti")
+    near = contained_names(at(left), at(b)).groupBy("exp_id").agg(F.min("pred_id").alias("pred_id"))
+    pairs = equal.withColumn("by", F.lit("equal")).unionByName(near.withColumn("by", F.lit("near")))
+    e = a.select("doc", "name", F.col("id").alias("exp_id"), *[F.col(x).alias(f"e_{x}") for x in amounts]).join(pairs, "exp_id", "left")
+    e = e.join(b.select(F.col("id").alias("pred_id"), F.col("name").alias("p_name"), *[F.col(x).alias(f"p_{x}") for x in amounts]), "pred_id", "left")
+    off = lambda x, y: F.coalesce(x.isNotNull() & (y.isNull() | ((F.abs(x - y) > tolerance) & (F.abs(x) > 0.01))), F.lit(False))
+    bad = {x: F.col("pred_id").isNotNull() & off(F.col(f"e_{x}"), F.col(f"p_{x}")) for x in amounts}
+    e = e.select("doc", "name", "pred_id", F.when(F.col("by") == "near", F.col("p_name")).alias("near"), *[w.alias(f"bad_{x}") for x, w in bad.items()])
+    wrong = F.greatest(*[F.col(f"bad_{x}").cast("int") for x in amounts]) == 1
+    state = F.when(F.col("pred_id").isNull(), "missing").when(wrong, "wrong").otherwise("match")
+    out = e.select("doc", "name", state.alias("state"), "near", *[f"bad_{x}" for x in amounts])
+    extra = b.join(pairs.select(F.col("pred_id").alias("id")), "id", "left_anti")
+    return out.unionByName(extra.select("doc", "name", F.lit("extra").alias("state"), F.lit(None).cast("string").alias("near"), *[F.lit(False).alias(f"bad_{x}") for x in amounts]))
+
+
 def continuity(prior: DataFrame, now: DataFrame) -> DataFrame:
     """One row on how stable the names of documents are from one side to the other.
 

@@ -190,11 +190,20 @@ def prior_context(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def simple_compare(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Products of two sources compared by name alone."""
+    """J16 on equal names and revenue only: products of two sources compared by name alone."""
     side = lambda source: _rows(spark, data_dir, source).select("doc", "id", "name", n.to_double(F.col("mbrevenue")).alias("amount"))
     return qu.simple_compare(side(EXPECTED), side(PREDICTED))
 
 
+def simple_compare_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Products of two sources compared by name alone, else by contained names, on revenue, cost and gross profit."""
+    amounts = ("mbrevenue", "mbcost", "gross_profit")
+    flat = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "")
+    rows = flat.select("source_code", F.col("infocode").alias("doc"), F.col("row_id").alias("id"), F.coalesce(t.name_key(F.col("productname")), F.lit("")).alias("name"), *[n.to_double(F.col(a)).alias(a) for a in amounts])
+    exp = rows.where((F.col("source_code") == EXPECTED) & ~F.col("name").isin("合计", "合計"))
+    return qu.compare_products(exp, rows.where(F.col("source_code") == PREDICTED), list(amounts))
+
+
 def continuity(spark: SparkSession, data_dir: str) -> DataFrame:
     """A15, A23, J17 on equal names and month-days as written: how stable two sources are."""
     flat = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "")
@@ -247,7 +256,7 @@ QUERIES = {
     "c_simple_compare": simple_compare, "c_continuity": continuity, "c_first_per_product": first_per_product,
     "c_signatures": signatures, "c_pairs_exact": pairs_exact, "c_pairs": pairs, "c_unpaired": unpaired, "c_compare_docs": compare_docs, "c_compare_corpus": compare_corpus, "c_compare_fields": compare_fields,
     "c_unpaired_contained": unpaired_contained, "c_compare_docs_contained": compare_docs_contained, "c_compare_corpus_contained": compare_corpus_contained, "c_compare_fields_contained": compare_fields_contained,
-    "c_continuity_matched": continuity_matched, "c_strategies_matched": strategies_matched, "c_conflicts_matched": conflicts_matched,
+    "c_simple_compare_contained": simple_compare_contained, "c_continuity_matched": continuity_matched, "c_strategies_matched": strategies_matched, "c_conflicts_matched": conflicts_matched,
     "c_amounts_covered": amounts_covered, "c_values_located": values_located, "c_dominant_currency": dominant_currency, "c_matching_sizes": matching_sizes, "c_strategies": strategies,
     "f_sums_totals": sums_totals, "f_first_facts": first_facts, "f_merged_tables": merged_tables, "f_records": records, "f_enriched": enriched, "f_prior_context": prior_context,
 }

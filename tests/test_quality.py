@@ -181,3 +181,27 @@ def test_continuity_and_strategies_by_matching(spark, tmp_path):
     assert {r.strategy: [r.improves, r.regresses, r.unchanged, r.takeovers] for r in q["c_strategies_matched"](spark, data).collect()} == want
     assert list(q["c_conflicts_matched"](spark, data).first()) == conflicts
     assert conflicts[0]
+
+
+def test_simple_compare_by_contained_names(spark, tmp_path):
+    rows = _made_up(9, 60)
+    data, want = _export(spark, tmp_path, rows), set()
+    for doc in {r["infocode"] for r in rows}:
+        sides = []
+        for s in ("HKF", "SHD"):
+            side = {}
+            for r in rows:
+                if (r["infocode"], r["source_code"]) == (doc, s) and (k := "".join(r["productname"].split())):
+                    side[k] = [r[f] and float(r[f]) for f in VALUES[1:4]]
+            sides.append(side)
+        exp, pred = sides
+        used = set()
+        for k, x in exp.items():
+            near = None if k in pred else next((p for p in pred if k in p or p in k), None)
+            hit = k if k in pred else near
+            used.add(hit)
+            bad = [hit is not None and v is not None and (w is None or abs(v - w) > 0.01) for v, w in zip(x, pred.get(hit, x), strict=True)]
+            want.add((doc, k, "missing" if hit is None else "wrong" if any(bad) else "match", near, *bad))
+        want |= {(doc, k, "extra", None, False, False, False) for k in pred if k not in used}
+    assert {tuple(r) for r in registry.queries()["c_simple_compare_contained"](spark, data).collect()} == want
+    assert {"missing", "wrong", "match", "extra"} >= {w[2] for w in want} and any(w[3] for w in want)
