@@ -52,7 +52,7 @@ def build_mapping() -> dict[str, str]:
     spaces, hyphens and look-alike letters the fixed values above.
     """
     out: dict[str, str] = {}
-    for cp in range(0x80, 0x30000):
+    for cp in (*range(0x80, 0x30000), *range(0xE0000, 0xE0200)):
         ch = chr(cp)
         if 0xD800 <= cp <= 0xDFFF or unicodedata.category(ch) in ("Cn", "Co"):
             continue

@@ -80,3 +80,8 @@ def test_found_with_empty_tables(spark):
     ref = spark.createDataFrame([(7, "Ab", None)], "ref_id long, canon_name string, alt_name string")
     assert [tuple(r) for r in alike_found(lines, flat, ref).collect()] == [("name", 7, 1)]
     assert alike_found(lines, flat.limit(0), ref.limit(0)).count() == 0
+
+
+def test_selectors_and_tags_of_the_last_plane_show_nothing():
+    mapping = build_mapping()
+    assert all(mapping.get(chr(cp)) == "" for cp in (0xE0001, 0xE0020, 0xE007F, 0xE0100, 0xE01EF))
