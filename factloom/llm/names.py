@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -39,6 +40,10 @@ HAN_DECORATIONS = ("外部客户", "及其他", "其中", "来自", "销售", "
 THRESHOLD = 0.4
 #: Most forms of the list (with its recombinations) whose index is broadcast; a larger one is joined by shuffling tokens.
 BROADCAST_FORMS = 100_000
+#: Most entries of a list that is collected, and most recombinations it may have; beyond that ``map_names`` refuses.
+LIST_ENTRIES, RECOMBINATIONS = 500_000, 1_000_000
+#: Words of 64 bits in the signature of a token set.
+SIGNATURE = 4
 #: Least agreement by edit distance of the best candidate, for Chinese and for Latin parts.
 AGREEMENT = (0.55, 0.7)
 
@@ -99,11 +104,12 @@ def clean(text: str, vocabulary: frozenset[str] = frozenset()) -> tuple[str, str
     latin = re.sub(f"[{_HAN}]", " ", s)
     latin = re.sub(r"\(?\bnotes?\s*\d+\)?", " ", latin)
     latin = re.sub(r"\b(sales? of|provision of|revenue from|income from|of which|and others)\b", " ", latin)
-    latin = re.sub(r"\be\w{4,8}l cust\w*\.?", " ", latin) if "cust" in latin else latin
     words = re.findall(r"[a-z]+(?:'[a-z]+)*\.?", latin)
     kept: list[str] = []
-    for w in words:
+    for before, w in zip(["", *words], words, strict=False):
         bare = w.rstrip(".")
+        if w.endswith(".") and len(bare) >= 4 and any(d.startswith(f"{before} {bare}") for d in LATIN_DECORATIONS):
+            continue  # a phrase whose last word is cut short
         if bare in vocabulary:
             kept.append(w)
         elif bare in ("i", "ii", "iii", "iv", "v", "vi", "prc", "div", "note", "notes", "others", "of", "from", "and", "which") or _decorates(w, vocabulary):
@@ -143,7 +149,8 @@ def recombinations(forms: set[str]) -> set[str]:
     """Every first part of a listed form joined to every last part, less the forms themselves.
 
     A form is split where its first part begins at least two forms and, among those splits, where the last
-    part ends most forms.
+    part ends most forms. Raises ValueError where there would be more than RECOMBINATIONS: their number is that
+    of first parts times last parts.
     """
     firsts = Counter(p for f in forms for p, _ in _splits(f))
     lasts = Counter(s for f in forms for _, s in _splits(f))
@@ -154,7 +161,10 @@ def recombinations(forms: set[str]) -> set[str]:
     out = set()
     for latin in (True, False):
         own = [v for f, v in best.items() if f.isascii() == latin]
-        out |= {p + (" " if latin else "") + s for p in {p for p, _ in own} for s in {s for _, s in own}}
+        heads, tails = {p for p, _ in own}, {s for _, s in own}
+        if len(heads) * len(tails) > RECOMBINATIONS:
+            raise ValueError(f"{len(heads)} first and {len(tails)} last parts of listed names are too many to recombine: map with recombine=False")
+        out |= {p + (" " if latin else "") + s for p in heads for s in tails}
     return out - forms
 
 
@@ -182,8 +192,8 @@ def agreement(part: str, form: str) -> float:
     return max(1 - (distance(part[k:] + part[:k], form) + foreign) / max(len(part), len(form)) for k in range(len(part)))
 
 
-def reference_forms(ref: list[tuple[int, str | None, str | None]]) -> tuple[list[tuple[int, str]], frozenset[str]]:
-    """((ref_id, form) of listed names and recombinations (-1), Latin words of the list).
+def reference_forms(ref: list[tuple[int, str | None, str | None]], recombine: bool = True) -> tuple[list[tuple[int, str]], frozenset[str]]:
+    """((ref_id, form) of listed names and, with ``recombine``, of recombinations (-1), Latin words of the list).
 
     A form that two entries share belongs to the smaller ref_id.
     """
@@ -196,7 +206,7 @@ def reference_forms(ref: list[tuple[int, str | None, str | None]]) -> tuple[list
                     if part:
                         listed.setdefault(part, ref_id)
     words = frozenset(w for f in listed if f.isascii() for w in f.split(" "))
-    return [*((i, f) for f, i in listed.items()), *((-1, f) for f in sorted(recombinations(set(listed))))], words
+    return [*((i, f) for f, i in listed.items()), *((-1, f) for f in sorted(recombinations(set(listed)) if recombine else ()))], words
 
 
 def token_ranks(forms: list[str]) -> dict[str, int]:
@@ -211,79 +221,121 @@ def ranked_tokens(part: str, ranks: dict[str, int]) -> list[int]:
     return sorted(r if r is not None else -k for k, r in enumerate(known, 1))
 
 
+def signature(ranks: list[int]) -> list[int]:
+    """A token set folded onto SIGNATURE words of 64 bits, as signed integers."""
+    words = [0] * SIGNATURE
+    for r in ranks:
+        bit = r * 0x9E3779B1 % 2**32 >> 16
+        words[bit % SIGNATURE] |= 1 << (bit // SIGNATURE % 64)
+    return [w - (1 << 64) if w >> 63 else w for w in words]
+
+
 def _prefix(size: Column, threshold: float) -> Column:
     return (size - F.ceil(size * threshold - 1e-9) + 1).cast("int")
 
 
 def similar_pairs(parts: DataFrame, forms: DataFrame, threshold: float = THRESHOLD, small: bool = True) -> DataFrame:
-    """(part, form_id, jaccard) of all parts and forms at or above ``threshold``; both have ranked ``tokens``.
+    """(part, form_id, jaccard) of all parts and forms at or above ``threshold``; both have ranked ``tokens`` and ``signature``.
 
     The join is exact: pairs are lost by no filter. ``forms`` is the reference list with its recombinations;
     when it is ``small`` its prefixes are broadcast, else both sides are shuffled by token. Tokens that the list
-    doesn't have can't match: they count for a part's size and take up its prefix. A pair is verified where its
-    first common token is met, so once.
+    doesn't have can't match: they count for a part's size and take up its prefix. A bit that only one of two
+    signatures has stands for at least one token that only that side has, which bounds what they have in common
+    before any tokens are compared. A pair is verified where its first common token is met, so once.
     """
-    index = forms.select("form_id", F.size("tokens").alias("ny"), F.col("tokens").alias("ytokens"), F.posexplode(F.slice("tokens", F.lit(1), _prefix(F.size("tokens"), threshold))).alias("j", "token"))
-    sized = parts.select("part", "tokens", F.size("tokens").alias("nx")).where("nx > 0")
-    rare = sized.select("part", "tokens", "nx", F.posexplode(F.slice("tokens", F.lit(1), _prefix(F.col("nx"), threshold))).alias("i", "token")).where("token >= 0")
+    bits = lambda at: [F.get("signature", F.lit(k)).alias(f"{at}{k}") for k in range(SIGNATURE)]
+    index = forms.select("form_id", F.size("tokens").alias("ny"), F.col("tokens").alias("ytokens"), *bits("y"), F.posexplode(F.slice("tokens", F.lit(1), _prefix(F.size("tokens"), threshold))).alias("j", "token"))
+    sized = parts.select("part", "tokens", F.size("tokens").alias("nx"), *bits("x")).where("nx > 0")
+    rare = sized.select("*", F.posexplode(F.slice("tokens", F.lit(1), _prefix(F.col("nx"), threshold))).alias("i", "token")).where("token >= 0")
     alike = (F.col("ny") >= F.col("nx") * threshold - 1e-9) & (F.col("nx") >= F.col("ny") * threshold - 1e-9)
     need = F.ceil((F.col("nx") + F.col("ny")) * (threshold / (1 + threshold)) - 1e-9)
     reach = 1 + F.least(F.col("nx") - F.col("i") - 1, F.col("ny") - F.col("j") - 1) >= need
-    near = rare.join(F.broadcast(index) if small else index, "token").where(alike & reach)
+    apart = lambda a, b: sum((F.bit_count(F.col(f"{a}{k}").bitwiseAND(F.bitwise_not(f"{b}{k}"))) for k in range(SIGNATURE)), F.lit(0))
+    possible = F.least(F.col("nx") - apart("x", "y"), F.col("ny") - apart("y", "x")) >= need
+    near = rare.join(F.broadcast(index) if small else index, "token").where(alike & reach & possible)
     common = F.array_intersect("tokens", "ytokens")
     met = near.select("part", "form_id", "token", (F.col("nx") + F.col("ny")).alias("both"), common.alias("common")).where(F.get("common", F.lit(0)) == F.col("token"))
     return met.select("part", "form_id", (F.size("common") / (F.col("both") - F.size("common"))).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-9)
 
 
-_PARTS = T.ArrayType(T.StructType([T.StructField("part", T.StringType()), T.StructField("tokens", T.ArrayType(T.IntegerType()))]))
+def best_possible(part: str, form: str, jaccard: float) -> float:
+    """The most that ``agreement`` can be: a letter that one side has more often is an edit, and so is each letter of length."""
+    most = max(len(part), len(form))
+    if form.isascii():
+        return 1.0 if "." in part else 1 - abs(len(part) - len(form)) / most
+    common = jaccard * (len(part) + len(form)) / (1 + jaccard)
+    return (common - (len(part) - common) / 2) / most
+
+
+def best_of(part: str, candidates: Iterable[tuple[int, str, float]]) -> tuple[int, float]:
+    """(ref_id or -1, score) of the best of a part's candidates (ref_id, form, jaccard), the likest first.
+
+    Jaccard leads; the order of letters decides among what is as near by their sets. A candidate is passed over
+    only if not even its best possible agreement would bring it to the best score so far.
+    """
+    best = (-1.0, False, 0, 0.0)
+    for ref_id, form, jaccard in candidates:
+        if 0.4 * jaccard + 0.6 * best_possible(part, form, jaccard) < best[0] - 1e-5:
+            continue
+        a = 1.0 if part == form else agreement(part, form)
+        best = max(best, (round(0.4 * jaccard + 0.6 * a, 6), ref_id >= 0, -ref_id, a))
+    score, _, minus, a = best
+    return (-minus, score) if a >= AGREEMENT[part.isascii()] else (-1, 0.0)
+
+
+_PARTS = T.ArrayType(T.StructType([T.StructField("part", T.StringType()), T.StructField("tokens", T.ArrayType(T.IntegerType())), T.StructField("signature", T.ArrayType(T.LongType()))]))
 
 
-def map_names(names: DataFrame, name: str, ref: DataFrame) -> DataFrame:
+def map_names(names: DataFrame, name: str, ref: DataFrame, recombine: bool = True) -> DataFrame:
     """(name, ref_id) of each distinct ``name``: the entry of ``ref`` meant, or -1.
 
-    ``ref`` (ref_id, canon_name, alt_name) is a curated list; it is collected, so it must fit the driver.
-    Names are made distinct, cleaned, and made distinct again, so that the join sees each cleaned part once.
-    Null and blank names are left out. Ties go to the listed entry, then to the smaller ref_id. With an empty
-    list every name gives -1.
+    ``ref`` (ref_id, canon_name, alt_name) is a curated list; it is collected, and one of more than LIST_ENTRIES
+    is refused. Names are made distinct, cleaned, and made distinct again, so that the join sees each cleaned part
+    once. Null and blank names are left out. Ties go to the listed entry, then to the smaller ref_id. With an
+    empty list every name gives -1.
     """
     spark = names.sparkSession
-    entries = [(r[0], r[1], r[2]) for r in ref.select("ref_id", "canon_name", "alt_name").collect()]
-    form_list, vocabulary = reference_forms(entries)
+    entries = [(r[0], r[1], r[2]) for r in ref.select("ref_id", "canon_name", "alt_name").limit(LIST_ENTRIES + 1).collect()]
+    if len(entries) > LIST_ENTRIES:
+        raise ValueError(f"the list has more than {LIST_ENTRIES} entries")
+    form_list, vocabulary = reference_forms(entries, recombine)
     ranks = token_ranks([f for _, f in form_list])
-    forms = spark.createDataFrame([(k, ranked_tokens(f, ranks)) for k, (_, f) in enumerate(form_list)], "form_id int, tokens array<int>")
-    by_id = {k: (i, f) for k, (i, f) in enumerate(form_list)}
+    listed = [(k, i, f, r, signature(r)) for k, (i, f) in enumerate(form_list) for r in [ranked_tokens(f, ranks)]]
+    forms = spark.createDataFrame(listed, "form_id int, ref_id long, form string, tokens array<int>, signature array<long>")
+    sent = spark.sparkContext.broadcast((vocabulary, ranks))
+    small = len(form_list) <= BROADCAST_FORMS
 
     @F.pandas_udf(_PARTS)
     def parts_of(text: pd.Series) -> pd.Series:
-        return pd.Series([[{"part": p, "tokens": ranked_tokens(p, ranks)} for p in clean(t, vocabulary) if len(p) > 1] for t in text])
-
-    @F.pandas_udf(T.StructType([T.StructField("ref_id", T.LongType()), T.StructField("score", T.DoubleType())]))
-    def verified(part: pd.Series, near: pd.Series) -> pd.DataFrame:
-        out = []
-        for p, candidates in zip(part, near, strict=True):
-            # Jaccard leads; the order of letters decides among what is as near by their sets.
-            scored = []
-            for c in candidates:
-                ref_id, form = by_id[c["form_id"]]
-                a = 1.0 if p == form else agreement(p, form)
-                scored.append((round(0.4 * c["jaccard"] + 0.6 * a, 6), ref_id >= 0, -ref_id, a))
-            score, _, minus, a = max(scored)
-            agrees = a >= AGREEMENT[p.isascii()]
-            out.append((-minus if agrees else -1, score if agrees else 0.0))
-        return pd.DataFrame(out, columns=["ref_id", "score"])
+        words, order = sent.value
+        return pd.Series([[{"part": p, "tokens": r, "signature": signature(r)} for p in clean(t, words) if p for r in [ranked_tokens(p, order)]] for t in text])
+
+    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Streams the candidates of one part after another; only one part's are held."""
+        part, held = None, []
+        for b in batches:
+            out = []
+            for p, ref_id, form, jaccard in zip(b["part"], b["ref_id"], b["form"], b["jaccard"], strict=True):
+                if p != part:
+                    if held:
+                        out.append((part, *best_of(part, held)))
+                    part, held = p, []
+                held.append((ref_id, form, jaccard))
+            yield pd.DataFrame(out, columns=["part", "ref_id", "score"])
+        if held:
+            yield pd.DataFrame([(part, *best_of(part, held))], columns=["part", "ref_id", "score"])
 
     blank = F.col("name").rlike(r"^[\s\u00a0\u2000-\u200a\u202f\u205f\u3000]*$")
     distinct = names.select(F.col(name).alias("name")).where(F.col("name").isNotNull() & ~blank).distinct()
     shared_dir(spark)
     # Used twice below: kept in the shared folder, names are read and cleaned once.
-    cut = distinct.select("name", F.explode_outer(parts_of("name")).alias("p")).select("name", "p.part", "p.tokens").checkpoint()
+    cut = distinct.select("name", F.explode_outer(parts_of("name")).alias("p")).select("name", "p.*").checkpoint()
     # Few bytes, much work: the parts are spread over all tasks, whatever their size.
-    parts = cut.where("part is not null").groupBy("part").agg(F.first("tokens").alias("tokens")).repartition(2 * shuffle_partitions(spark))
-    pairs = similar_pairs(parts, forms, small=len(form_list) <= BROADCAST_FORMS)
-    # Candidates far below a part's best can't win and aren't carried along; the rest is bounded by the list.
-    best = pairs.groupBy("part").agg(F.max("jaccard").alias("top"), F.collect_list(F.struct("form_id", "jaccard")).alias("all"))
-    near = best.select("part", F.expr("filter(all, c -> c.jaccard >= top - 0.25)").alias("near"))
-    meant = near.select("part", verified("part", "near").alias("v")).select("part", F.col("v.ref_id").alias("ref_id"), F.col("v.score").alias("score"))
+    parts = cut.where("part is not null").groupBy("part").agg(F.first("tokens").alias("tokens"), F.first("signature").alias("signature")).repartition(2 * shuffle_partitions(spark))
+    words = forms.select("form_id", "ref_id", "form")
+    pairs = similar_pairs(parts, forms, small=small).join(F.broadcast(words) if small else words, "form_id").select("part", "ref_id", "form", "jaccard")
+    sorted_pairs = pairs.repartition(2 * shuffle_partitions(spark), "part").sortWithinPartitions("part", F.desc("jaccard"))
+    meant = sorted_pairs.mapInPandas(verified, "part string, ref_id long, score double")
     per_name = cut.select("name", "part").join(meant, "part", "left").groupBy("name").agg(F.max(F.struct(F.coalesce("score", F.lit(0.0)).alias("score"), (F.col("ref_id") >= 0).alias("listed"), (-F.coalesce("ref_id", F.lit(-1))).alias("minus"))).alias("m"))
     return per_name.select("name", (-F.col("m.minus")).alias("ref_id"))
 
