@@ -19,44 +19,72 @@ from pyspark.sql import functions as F
 from ..sources.tables import shared_dir, shuffle_partitions
 
 
+def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which sums of one length of ``a`` and one of ``b`` there are, up to the same greatest length."""
+    n = 1 << (2 * len(a) - 1).bit_length()
+    return np.fft.irfft(np.fft.rfft(a.astype(float), n) * np.fft.rfft(b.astype(float), n), n)[: len(a)] > 0.5
+
+
 class Complements:
-    """Available lengths, and the singles, pairs and triples of them that add up to a gap."""
+    """Available lengths, and an index of the gaps that one, two or three of them fill exactly.
+
+    ``free`` counts the copies of each length; ``pairs`` and ``triples`` tell of each gap whether two or three
+    lengths add up to it. Copies are only ever used up, so a gap that fails once is struck out for good, and all
+    failures together cost no more than one look-up for each gap.
+    """
 
     def __init__(self, counts: dict[int, int], capacity: int):
         self.free = np.zeros(capacity + 1, dtype=np.int64)
         for length, n in counts.items():
             self.free[length] = n
+        there = self.free > 0
+        self.below = [x if there[x] else x - 1 for x in range(capacity + 1)]  # the way down to the next length there may be
+        self.pairs = _sums(there, there)
+        self.triples = _sums(self.pairs, there)
 
     def single(self, gap: int) -> tuple[int, ...] | None:
         return (gap,) if self.free[gap] > 0 else None
 
-    def pair(self, gap: int) -> tuple[int, ...] | None:
-        """The pair with the most copies available."""
-        a = np.arange(1, gap // 2 + 1)
-        if not len(a):
-            return None
-        copies = np.minimum(self.free[a], self.free[gap - a])
+    def _pair(self, gap: int) -> tuple[int, ...] | None:
+        half = gap // 2
+        copies = np.minimum(self.free[1 : half + 1], self.free[gap - half : gap][::-1])
         if gap % 2 == 0:
-            copies[-1] = self.free[gap // 2] // 2
+            copies[-1] = self.free[half] // 2
         k = int(copies.argmax())
-        return (gap - int(a[k]), int(a[k])) if copies[k] > 0 else None
+        return (gap - k - 1, k + 1) if copies[k] > 0 else None
+
+    def pair(self, gap: int) -> tuple[int, ...] | None:
+        """The pair with the most copies available."""
+        found = self._pair(gap) if self.pairs[gap] else None
+        self.pairs[gap] = found is not None
+        return found
 
     def triple(self, gap: int) -> tuple[int, ...] | None:
-        for c in np.flatnonzero(self.free[: gap - 1])[::-1]:
-            self.free[c] -= 1
-            found = self.pair(gap - int(c))
-            self.free[c] += 1
-            if found:
-                return (int(c), *found)
+        """The triple of the longest length whose rest is a pair."""
+        if self.triples[gap]:
+            for c in np.flatnonzero((self.free[: gap - 1] > 0) & self.pairs[2 : gap + 1][::-1])[::-1]:
+                rest = gap - int(c)
+                self.free[c] -= 1
+                found = self._pair(rest)
+                self.free[c] += 1
+                if found:
+                    return (int(c), *found)
+                self.pair(rest)  # struck out unless only the copy of c was lacking
+            self.triples[gap] = False
         return None
 
     def exact(self, gap: int) -> tuple[int, ...] | None:
-        return self.single(gap) or self.pair(gap) or (self.triple(gap) if gap > 2 else None)
+        return self.single(gap) or (self.pair(gap) if gap > 1 else None) or (self.triple(gap) if gap > 2 else None)
 
     def largest(self, gap: int) -> int | None:
-        """Best fit: the longest available length within a gap."""
-        at = np.flatnonzero(self.free[1 : gap + 1])
-        return int(at[-1]) + 1 if len(at) else None
+        """Best fit: the longest available length within a gap. Ways down over used-up lengths are shortened."""
+        at, passed = gap, []
+        while at > 0 and self.free[at] == 0:
+            passed.append(at)
+            at = self.below[at] if self.below[at] < at else at - 1
+        for x in passed:
+            self.below[x] = at
+        return at if at > 0 else None
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -70,10 +98,8 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
     out = []
     top = capacity
     while True:
-        at = np.flatnonzero(stock.free[: top + 1])
-        if not len(at) or at[-1] == 0:
+        if (top := stock.largest(top)) is None:
             return out
-        top = int(at[-1])
         held = [top]
         stock.free[top] -= 1
         gap = capacity - top

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from factloom.llm.lookalike import alike_found, alike_pairs, build_mapping, check_mapping, transducer
+from factloom.llm.lookalike import alike_found, alike_pairs, build_joins, build_mapping, check_mapping, transducer
 
 rewrite = transducer()
 TABLE = str.maketrans(build_mapping())
@@ -15,7 +15,8 @@ TABLE = str.maketrans(build_mapping())
     ("text", "want"),
     [
         ("Ｐreсision pumps", "Precision pumps"), ("Café", "Café"), ("a​́", "á"), ("⼀⾷", "一食"), (" x　", " x "), ("Ё", "Ë"),
-        ("a­b⁠c﻿", "abc"), ("cross‑border", "cross-border"), ("ｶﾞ", "ガ"), ("金", "金"), ("", ""),
+        ("\u0958", "\u0915\u093c"), ("\u0915\u093c", "\u0915\u093c"), ("\u09c7\u09be", "\u09cb"), ("\u1112\u1161\u11ab", "\ud55c"), ("\u1112\u1161\u200b\u11ab", "\ud55c"), ("\U0001d400\U0001d7d7", "A9"), ("ᏴꓐⲂ", "BBB"),
+        ("e\u0323\u0302", "\u1ec7"), ("e\u0302\u0323", "\u1ec7"), ("е\u0302\u0323", "\u1ec7"), ("a\u0301\u0302", "\u00e1\u0302"), ("\u0301a", "\u0301a"), ("a­b⁠c﻿", "abc"), ("cross‑border", "cross-border"), ("ｶﾞ", "ガ"), ("金", "金"), ("", ""),
     ],
 )
 def test_same_look(text, want):
@@ -44,7 +45,7 @@ def test_wide_letters_with_marks_compose():
 
 
 @settings(max_examples=500, deadline=None)
-@given(st.text(st.sampled_from(list("aeo\uff45\u0435\u0301\u200b\u00a0 \u3000\u2f00\uff76\uff9e"))))
+@given(st.text(st.sampled_from(list("aeo\uff45\u0435\u0301\u200b\u00a0 \u3000\u2f00\uff76\uff9e\u0323\u0344\u0958\u093c\u09c7\u09be\u1112\u1161\u11ab\u0ddc\u0dcf\u302a"))))
 def test_same_as_character_by_character(text):
     """One pass over clusters gives what mapping, decomposing and composing the whole text gives."""
     assert rewrite(text) == unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(TABLE)).translate(TABLE))
@@ -54,7 +55,10 @@ def test_conflicts_are_found():
     with pytest.raises(ValueError):
         check_mapping({"a": "b", "b": "a"})
     assert check_mapping({"a": "b", "b": "c"}) == {"a": "c", "b": "c"}
+    with pytest.raises(ValueError, match="gives"):
+        build_joins({"e": "a"})
     mapping = build_mapping()
+    assert len(build_joins(mapping)) > 11_172 + 800
     assert not any(c in mapping for v in mapping.values() for c in v)
 
 

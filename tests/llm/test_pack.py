@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from itertools import combinations
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -83,3 +84,26 @@ def test_empty_and_repeats(spark):
     assert _pack(spark, [None, 0]) == []
     df = spark.createDataFrame([(1, 60), (1, 60)], "doc_id long, n int")
     assert len({r.container for r in pack(df, "doc_id", "n", 100).collect()}) == 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 24), st.integers(1, 3), min_size=1, max_size=10), st.lists(st.integers(1, 40), max_size=30))
+def test_index_against_all_combinations(counts, gaps):
+    """While copies are used up, a gap is filled exactly if and only if one, two or three of them add up to it."""
+    stock = Complements(counts, 40)
+    for gap in gaps:
+        left = [x for x in range(1, 41) for _ in range(min(3, int(stock.free[x])))]
+        possible = any(sum(c) == gap for k in (1, 2, 3) for c in combinations(left, k))
+        found = stock.exact(gap)
+        assert (found is not None) == possible
+        assert stock.largest(gap) == max((x for x in left if x <= gap), default=None)
+        for x in found or ():
+            stock.free[x] -= 1
+        assert (stock.free >= 0).all() and (found is None or sum(found) == gap)
+
+
+def test_plan_at_a_large_capacity_takes_seconds():
+    rng = random.Random(1)
+    counts = Counter(min(131_072, max(1, int(rng.lognormvariate(6, 1.5)))) for _ in range(100_000))
+    made = plan(counts, 131_072)
+    assert sum(t for _, t in made) <= 1.02 * sum(x * n for x, n in counts.items()) / 131_072 + 1
