@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from zoneinfo import ZoneInfo
 
-from factloom.operators.timestamps import instants_found, resolve_instants, utc_text
+from factloom.operators.timestamps import _intervals_of, instants_found, resolve_instants, utc_text
 from pyspark.sql import functions as F
 
 SOURCES = [("HKF", "Asia/Hong_Kong", True), ("NYC", "America/New_York", False), ("LDN", "Europe/London", True), ("SHD", "Asia/Shanghai", False), ("UTC", "Etc/UTC", False)]
@@ -41,6 +41,13 @@ CASES = [
     ("3-JUL-2023", "NYC", "2023-07-02T16:00:00.000000Z"),
     ("01-Jan-24", "SHD", "2023-12-31T16:00:00.000000Z"),
     ("2022-01-01 11:08:12,696093", "UTC", "2022-01-01T11:08:12.696093Z"),
+    ("202401311530", "UTC", "2024-01-31T15:30:00.000000Z"), ("20240131T1530", "HKF", "2024-01-31T07:30:00.000000Z"), ("20240131T1530+09:00", "HKF", "2024-01-31T06:30:00.000000Z"), ("20240131T153045123Z", "HKF", "2024-01-31T15:30:45.123000Z"),
+    # before and after the years of the table's rules
+    ("1900-01-02 00:00:00", "HKF", "1900-01-01T16:23:18.000000Z"), ("1650-05-01T12:00:00Z", "HKF", "1650-05-01T12:00:00.000000Z"), ("1650-05-01 12:00:00", "LDN", "1650-05-01T12:01:15.000000Z"),
+    ("2150-07-01 12:00:00", "LDN", "2150-07-01T11:00:00.000000Z"), ("2150-01-01 12:00:00", "NYC", "2150-01-01T17:00:00.000000Z"), ("3021-07-01 12:00:00", "LDN", "3021-07-01T11:00:00.000000Z"), ("9999-12-31", "HKF", "9999-12-30T16:00:00.000000Z"),
+    # a summer time of seven days
+    ("2040-10-25 12:00:00 Asia/Gaza", "HKF", "2040-10-25T09:00:00.000000Z") if ZoneInfo("Asia/Gaza").utcoffset(datetime(2040, 10, 25, 12)) == timedelta(hours=3) else ("2040-10-25 12:00:00 Asia/Gaza", "HKF", "2040-10-25T10:00:00.000000Z"),
+    ("2022-07-01 12:00:00 europe/london", "HKF", "2022-07-01T11:00:00.000000Z"), ("2022-07-01 12:00:00 No/Where", "HKF", None), ("2024", "HKF", None), ("123456", "HKF", None),
     # twice on the clock: the first one; skipped: the offset before the change
     ("2022-11-06 01:30:00", "NYC", "2022-11-06T05:30:00.000000Z"),
     ("2022-10-30 01:30:00", "LDN", "2022-10-30T00:30:00.000000Z"),
@@ -78,7 +85,7 @@ def test_readings(spark):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.tuples(st.datetimes(datetime(1990, 1, 1), datetime(2060, 1, 1)), st.sampled_from([s[1] for s in SOURCES])), min_size=20, max_size=60))
+@given(st.lists(st.tuples(st.datetimes(datetime(1801, 1, 1), datetime(2436, 1, 1)), st.sampled_from([s[1] for s in SOURCES])), min_size=20, max_size=60))
 def test_against_zoneinfo(spark, cases):
     def expect(local, zone):
         """The first of two, and the offset before a gap: both are fold=0."""
@@ -105,3 +112,16 @@ def test_year_boundaries(spark):
 @pytest.mark.parametrize("text", ["1/2/2022", "01.02.22", "1-2-2022"])
 def test_day_first(spark, text):
     assert _found(spark, [(text, "HKF"), (text, "NYC")]) == {0: "2022-01-31T16:00:00.000000Z", 1: "2022-01-01T16:00:00.000000Z"}
+
+
+@pytest.mark.parametrize("zone", ["Asia/Gaza", "America/Sao_Paulo", "Africa/Casablanca", "Europe/Dublin", "Asia/Hong_Kong", "Antarctica/Troll"])
+def test_intervals_against_every_day(zone):
+    z, at = ZoneInfo(zone), datetime(1870, 1, 1, 1, 30, tzinfo=timezone.utc)
+    spans = _intervals_of(zone)
+    k = 0
+    while at.year < 2110:
+        t = int((at - datetime(1970, 1, 1, tzinfo=timezone.utc)).total_seconds())
+        while spans[k][1] <= t:
+            k += 1
+        assert spans[k][2] == at.astimezone(z).utcoffset().total_seconds()
+        at += timedelta(hours=31)
