@@ -193,7 +193,7 @@ def to_common_currency(flat: DataFrame, sources: DataFrame, rates: DataFrame, am
     currency, else in unit, else with the amount, else is the source's default_currency. The product with the
     rate is exact (DECIMAL) and rounded to whole numbers, halves away from zero. A row with an unreadable
     amount, an unknown source and no stated scale, or a currency not in ``rates`` gives no row; nor does a
-    value of 17 or more whole digits. ``sources`` and ``rates`` are fixed lists and are broadcast.
+    value beyond a long. ``sources`` and ``rates`` are fixed lists and are broadcast.
     """
     src = F.broadcast(sources.select("source_code", "default_unit", "default_currency"))
     rate = F.broadcast(rates.select(F.col("currency_code"), F.col("hkd_rate").cast("decimal(12,4)").alias("hkd_rate")))
@@ -205,12 +205,20 @@ def to_common_currency(flat: DataFrame, sources: DataFrame, rates: DataFrame, am
         .select("row_id", F.coalesce("m.currency", "default_currency").alias("currency_code"), F.coalesce("m.scale", default).alias("scale"), F.col("m.amount").alias("amount"))
         .join(rate, "currency_code")
     )
-    # 14 decimals before the scale is applied and 8 after it: no product loses a digit
-    value = F.col("amount").try_cast("decimal(30,14)")
-    exact = (value * _power_of_ten(F.col("scale"))).try_cast("decimal(24,8)")
-    hkd = F.round(exact * F.col("hkd_rate"), 0)
-    return df.select("row_id", "currency_code", hkd.cast("bigint").alias("amount_hkd")).where(F.col("amount_hkd").isNotNull())
+    return df.select("row_id", "currency_code", _whole_money(F.col("amount"), F.col("scale"), F.col("hkd_rate")).alias("amount_hkd")).where(F.col("amount_hkd").isNotNull())
 
 
-def _power_of_ten(scale: Column) -> Column:
-    return F.concat(F.lit("1"), F.repeat(F.lit("0"), scale)).cast("decimal(13,0)")
+def _whole_money(amount: Column, scale: Column, rate: Column) -> Column:
+    """A plain decimal text times ten to ``scale`` times a rate, rounded to whole numbers, halves away from zero.
+
+    The point is moved in the text; the whole part (20 digits) and the fraction (22) are multiplied apart, since
+    no decimal type holds their product. Null where it is beyond a long.
+    """
+    bare = F.ltrim(amount, F.lit("-"))
+    whole, part = F.substring_index(bare, ".", 1), F.when(bare.contains("."), F.substring_index(bare, ".", -1)).otherwise("")
+    moved = F.concat(whole, F.rpad(F.substring(part, F.lit(1), scale), scale, F.lit("0")))
+    rest = F.concat(F.lit("0."), F.substring(part, scale + 1, F.lit(22)), F.lit("0"))
+    product = moved.try_cast("decimal(20,0)") * rate
+    below = (product - F.floor(product)).cast("decimal(5,4)") + rest.cast("decimal(22,22)") * rate
+    total = (F.floor(product).cast("decimal(30,0)") + F.round(below, 0)).try_cast("bigint")
+    return F.when(amount.startswith("-"), -total).otherwise(total)

@@ -1,8 +1,10 @@
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 
-from factloom.operators.units import read_amount, segment, to_common_currency
+from factloom.operators.units import _whole_money, read_amount, segment, to_common_currency
+from pyspark.sql import functions as F
 
 SOURCES = [("HKF", "002", "HKD"), ("USA", "001", "USD")]
 RATES = [("HKD", Decimal("1.0000")), ("USD", Decimal("7.8013")), ("JPY", Decimal("0.0517")), ("MYR", Decimal("1.7653"))]
@@ -67,3 +69,17 @@ def test_many_decimals_and_digits(spark):
 
 def test_empty(spark):
     assert _run(spark, [(None, None, None, None)]) == {}
+
+
+def test_whole_money_is_exact(spark):
+    rng = random.Random(4)
+    cases = [("0.5", 0, "1.0000"), ("-0.5", 0, "1.0000"), ("2.5", 0, "1.0000"), ("1234567890123456789", 0, "1.0000"), ("9223372036854775807", 0, "1.0000"), ("9223372036854775808", 0, "1.0000"), ("123456789012345678.5", 0, "7.7812"), ("0.000000000000000049", 12, "99999999.9999")]
+    for _ in range(400):
+        cases.append((rng.choice(["", "-"]) + str(rng.randint(0, 10 ** rng.randint(1, 17))) + rng.choice(["", "." + "".join(rng.choices("0123456789", k=rng.randint(1, 20)))]), rng.choice([0, 3, 4, 6, 8]), f"{rng.randint(1, 99)}.{rng.randint(0, 9999):04d}"))
+    df = spark.createDataFrame([(i, a, s, Decimal(r)) for i, (a, s, r) in enumerate(cases)], "i int, a string, s int, r decimal(12,4)")
+    got = {r.i: r.m for r in df.select("i", _whole_money(F.col("a"), F.col("s"), F.col("r")).alias("m")).collect()}
+    with localcontext() as exact:
+        exact.prec = 80
+        for i, (a, s, r) in enumerate(cases):
+            want = int((Decimal(a) * 10**s * Decimal(r)).quantize(Decimal(1), ROUND_HALF_UP))
+            assert got[i] == (want if abs(want) < 2**63 else None), (a, s, r)
