@@ -252,7 +252,8 @@ def similar_pairs(parts: DataFrame, forms: DataFrame, threshold: float = THRESHO
     reach = 1 + F.least(F.col("nx") - F.col("i") - 1, F.col("ny") - F.col("j") - 1) >= need
     apart = lambda a, b: sum((F.bit_count(F.col(f"{a}{k}").bitwiseAND(F.bitwise_not(f"{b}{k}"))) for k in range(SIGNATURE)), F.lit(0))
     possible = F.least(F.col("nx") - apart("x", "y"), F.col("ny") - apart("y", "x")) >= need
-    near = rare.join(F.broadcast(index) if small else index, "token").where(alike & reach & possible)
+    # The lambda keeps the filter out of whole-stage code, whose one method would be too large for the JVM to compile.
+    near = rare.join(F.broadcast(index) if small else index, "token").where(alike & reach).where(F.exists(F.array(possible), lambda x: x))
     common = F.array_intersect("tokens", "ytokens")
     met = near.select("part", "form_id", "token", (F.col("nx") + F.col("ny")).alias("both"), common.alias("common")).where(F.get("common", F.lit(0)) == F.col("token"))
     return met.select("part", "form_id", (F.size("common") / (F.col("both") - F.size("common"))).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-9)
