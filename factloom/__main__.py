@@ -3,22 +3,24 @@
     python -m factloom list
     python -m factloom run NAME DATA [--out FOLDER] [--rows 20]
     python -m factloom report DATA FILE
+
+``--more MODULE`` adds the queries of a module that has QUERIES, the optional subpackage's for instance.
 """
 
 from __future__ import annotations
 
 import argparse
+from importlib import import_module
 
 from pyspark.sql import SparkSession
 
-import __spark_entry__ as entry
-
-from .plans import evaluation
+from .plans import evaluation, registry
 from .sources.exports import html_report
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="factloom", description=__doc__.splitlines()[0])
+    p.add_argument("--more", action="append", default=[])
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("list")
     run = sub.add_parser("run")
@@ -30,7 +32,9 @@ def main(argv: list[str] | None = None) -> int:
     report.add_argument("data")
     report.add_argument("file")
     a = p.parse_args(argv)
-    queries = entry.queries()
+    queries = registry.queries()
+    for module in a.more:
+        queries |= import_module(module).QUERIES
     if a.command == "list":
         print("\n".join(sorted(queries)))
         return 0

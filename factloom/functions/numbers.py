@@ -48,20 +48,43 @@ def unit_code(c: Column) -> Column:
     return F.when(F.coalesce(strip(c), F.lit("")) == "", "").when(c.rlike("百万|百萬"), "004").when(c.contains("千"), "002").otherwise("001")
 
 
+_CURRENCIES = (*CURRENCY_MARKS, *CURRENCY_WORDS, ("$", "港元"), ("＄", "港元"))
+
+
+def _first_rank(c: Column, tests: list[Column]) -> Column:
+    """The place of the first test that holds; null for none."""
+    out = F.when(tests[0], 0)
+    for k, t in enumerate(tests[1:], 1):
+        out = out.when(t, k)
+    return out
+
+
+def currency_rank(c: Column) -> Column:
+    """The rank of the currency a text names first by rank; null for none. ``currency_name`` gives its name."""
+    return _first_rank(c, [c.contains(mark) for mark, _ in _CURRENCIES])
+
+
+def currency_name(rank: Column) -> Column:
+    return F.coalesce(F.get(F.array(*[F.lit(name) for _, name in _CURRENCIES]), rank), F.lit(""))
+
+
 def currency_of(c: Column) -> Column:
     """The currency a text names first by rank; a bare $ is the Hong Kong dollar; '' for none."""
-    out = None
-    for mark, name in (*CURRENCY_MARKS, *CURRENCY_WORDS, ("$", "港元"), ("＄", "港元")):
-        out = F.when(c.contains(mark), name) if out is None else out.when(c.contains(mark), name)
-    return out.otherwise("")
+    return currency_name(currency_rank(c))
+
+
+def unit_rank(c: Column) -> Column:
+    """X11: the rank of the unit a text names first by rank; null for none. ``unit_name`` gives its name."""
+    return _first_rank(c, [c.rlike(r"\$\s*'?000|'000"), *[c.contains(word) for word in UNIT_WORDS]])
+
+
+def unit_name(rank: Column) -> Column:
+    return F.coalesce(F.get(F.array(*[F.lit(word) for word in ("千元", *UNIT_WORDS)]), rank), F.lit(""))
 
 
 def unit_of(c: Column) -> Column:
     """X11: the unit a text names first by rank; '' for none."""
-    out = F.when(c.rlike(r"\$\s*'?000|'000"), "千元")
-    for word in UNIT_WORDS:
-        out = out.when(c.contains(word), word)
-    return out.otherwise("")
+    return unit_name(unit_rank(c))
 
 
 def number_variants(c: Column) -> Column:

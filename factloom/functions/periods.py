@@ -49,17 +49,17 @@ _NOTATIONS = (
 )
 
 
-def period_end(c: Column) -> Column:
-    """The end of the period a text names, by the first of twelve notations that matches; always a month's end.
+def ranked_period_end(c: Column) -> Column:
+    """(rank, end): the end of the period a text names and the place of the notation it was read by; null for none.
 
-    In order: a date in Chinese numerals, year and month, month's end, quarters, half-year, year, range of
-    months, year's end. Null when none matches.
+    Twelve notations are tried in order: a date in Chinese numerals, year and month, month's end, quarters,
+    half-year, year, range of months, year's end. The end is always a month's end, null for an impossible month.
     """
 
     def read(s: Column) -> Column:
-        """'year|month' by the first notation that is in the text."""
+        """'rank|year|month' by the first notation that is in the text."""
         out = None
-        for pattern, month in _NOTATIONS:
+        for rank, (pattern, month) in enumerate(_NOTATIONS):
             if month == "quarter":
                 q = F.regexp_extract(s, pattern, 2)
                 value = F.when(q.rlike(_QUARTERS[0][0]), _QUARTERS[0][1])
@@ -67,19 +67,25 @@ def period_end(c: Column) -> Column:
                     value = value.when(q.rlike(form), m)
             else:
                 value = F.regexp_extract(s, pattern, month) if isinstance(month, int) else F.lit(month)
-            fields = F.concat_ws("|", F.regexp_extract(s, pattern, 1), value)
+            fields = F.concat_ws("|", F.lit(str(rank)), F.regexp_extract(s, pattern, 1), value)
             out = F.when(s.rlike(pattern), fields) if out is None else out.when(s.rlike(pattern), fields)
         return out
 
-    def end(ym: Column) -> Column:
-        year = F.translate(F.substring_index(ym, "|", 1), "二" + _HAN[0], "2" + _HAN[1]).try_cast("int")
-        return month_end(year, han_number(F.substring_index(ym, "|", -1)))
+    def end(fields: Column) -> Column:
+        f = F.split(fields, r"\|")
+        year = F.translate(F.get(f, F.lit(1)), "二" + _HAN[0], "2" + _HAN[1]).try_cast("int")
+        return F.when(fields.isNotNull(), F.struct(F.get(f, F.lit(0)).try_cast("int").alias("rank"), month_end(year, han_number(F.coalesce(F.get(f, F.lit(2)), F.lit("")))).alias("end")))
 
     # Lambdas over one-element arrays bind a value once, where a nested expression would be repeated in code.
     text = F.array(F.regexp_replace(c, r"[ \n\t]", ""))
     return F.get(F.transform(F.transform(text, read), end), F.lit(0))
 
 
+def period_end(c: Column) -> Column:
+    """The end of the period a text names, by the first of the notations that matches; null when none does."""
+    return ranked_period_end(c)["end"]
+
+
 def clamped_date(c: Column) -> Column:
     """Yyyy-M-d as a date, its day held to the month's length; null for anything else."""
     p = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})\s*$"
@@ -88,14 +94,24 @@ def clamped_date(c: Column) -> Column:
     return F.when(d >= 1, F.make_date(y, F.when(last.isNotNull(), m), F.least(d, F.dayofmonth(last))))
 
 
+_MONTHS = ((r"(?i)六個月|六个月|6\s*個月|6\s*个月|six months", 6), (r"(?i)九個月|九个月|9\s*個月|9\s*个月|nine months", 9), ("季度", 3))
+
+
+def months_rank(text: Column) -> Column:
+    """The place in order of the months that a text speaks of, past the last for none."""
+    out = F.when(text.rlike(_MONTHS[0][0]), 0)
+    for k, (words, _) in enumerate(_MONTHS[1:], 1):
+        out = out.when(text.rlike(words), k)
+    return out.otherwise(len(_MONTHS))
+
+
+def months_of(rank: Column) -> Column:
+    return F.coalesce(F.get(F.array(*[F.lit(m) for _, m in _MONTHS]), rank), F.lit(12))
+
+
 def period_months(text: Column) -> Column:
     """The months of a period that a text speaks of: 6, 9, 3 for a quarter, else 12."""
-    return (
-        F.when(text.rlike(r"(?i)六個月|六个月|6\s*個月|6\s*个月|six months"), 6)
-        .when(text.rlike(r"(?i)九個月|九个月|9\s*個月|9\s*个月|nine months"), 9)
-        .when(text.rlike("季度"), 3)
-        .otherwise(12)
-    )
+    return months_of(months_rank(text))
 
 
 def period_start(end: Column, text: Column) -> Column:

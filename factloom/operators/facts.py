@@ -11,13 +11,16 @@ from ..functions.text import name_key
 PERIOD = ("start_date", "end_date")
 
 
-def sums_against_totals(facts: DataFrame, keys: list[str], is_total: str = "is_total", amount: str = "amount") -> DataFrame:
-    """A4, A5: by ``keys`` the sum of products, the stated total (the greatest if several) and whether they agree.
+def sums_against_totals(facts: DataFrame, keys: list[str], kind: str = "kind", amount: str = "amount") -> DataFrame:
+    """A4, A5: by ``keys`` the sum of products, the stated total and whether they agree.
 
-    They agree within one per cent of the greater, or 1. Without a stated total the sum stands for it.
+    ``kind`` is 'final' or 'subtotal' for totals, null for products. The greatest final total is the stated one, the
+    greatest subtotal where there is none; without either the sum stands for it. They agree within one per cent of the
+    greater, or 1.
     """
     exact = F.col(amount).cast("decimal(28,6)")  # sums don't depend on the order of rows
-    a = facts.groupBy(*keys).agg(F.sum(F.when(~F.col(is_total), exact)).alias("summed"), F.max(F.when(F.col(is_total), exact)).alias("stated"), F.count_if(~F.col(is_total)).alias("n_products"))
+    product, of = F.col(kind).isNull(), lambda k: F.max(F.when(F.col(kind) == k, exact))
+    a = facts.groupBy(*keys).agg(F.sum(F.when(product, exact)).alias("summed"), F.coalesce(of("final"), of("subtotal")).alias("stated"), F.count_if(product).alias("n_products"))
     money = lambda c: F.round(c, 2).cast("double")
     near = F.abs(F.col("summed") - F.col("stated")) <= F.greatest(F.greatest(F.abs("summed"), F.abs("stated")) / 100, F.lit(1))
     return a.select(*keys, "n_products", money(F.col("summed")).alias("summed"), money(F.col("stated")).alias("stated"), money(F.coalesce("stated", "summed")).alias("total"), near.alias("agrees"))
@@ -30,29 +33,38 @@ def first_facts(facts: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return picked.select(*keys, *[F.col(f"_f.{c}").alias(c) for c in rest])
 
 
-def merge_tables(facts: DataFrame, tables: int) -> DataFrame:
-    """The tables 0, 1, … of each document merged in order, a table kept out when it tells of other things.
+def merge_tables(facts: DataFrame) -> DataFrame:
+    """The tables of each document merged in order, a table kept out when it tells of other things.
 
-    Kept out is a table that has no product in common with what is merged so far, or whose stated total of a
-    common period differs by more than one per cent. Of facts with equal product, period and metric the first
-    stays. ``facts``: doc, table_no, name, is_total, start_date, end_date, metric, amount. ``tables`` bounds
-    the number of tables of a document; one step of joins for each.
+    Kept out is a table that has no product in common with what is merged so far, or whose total of a common period
+    differs by more than one per cent; nulls count as nought. Of facts with equal product, period and metric the first
+    stays, so of the totals merged so far the first counts, of the table's own the last. ``facts``: doc, table_no,
+    fact_no, name, is_total, start_date, end_date, metric, amount. Any number of tables; which of them share a product
+    is worked out by a join on the product, and the order of merging is folded over these few numbers of a document.
     """
+    f = facts.withColumn("name_key", F.lower(F.replace("name", F.lit(" "), F.lit(""))))
     key = ["doc", "name_key", *PERIOD, "metric"]
-    f = facts.withColumn("name_key", name_key(F.col("name"))).withColumn("_n", F.monotonically_increasing_id()) if "fact_no" not in facts.columns else facts.withColumn("name_key", name_key(F.col("name"))).withColumn("_n", F.col("fact_no"))
-    merged = f.where(F.col("table_no") == 0)
-    for k in range(1, tables):
-        extra = f.where(F.col("table_no") == k)
-        names = lambda df: df.where(~F.col("is_total")).select("doc", "name_key").distinct()
-        totals = lambda df, c: df.where("is_total").groupBy("doc", *PERIOD).agg(F.max("amount").alias(c))
-        common = names(merged).join(names(extra), ["doc", "name_key"]).select("doc").distinct().withColumn("_common", F.lit(True))
-        has_base, has_extra = names(merged).select("doc").distinct().withColumn("_base", F.lit(True)), names(extra).select("doc").distinct().withColumn("_extra", F.lit(True))
-        apart = totals(merged, "a").join(totals(extra, "b"), ["doc", *PERIOD]).groupBy("doc").agg(F.max(F.abs(F.col("a") - F.col("b")) > 0.01 * F.abs("a")).alias("_apart"))
-        verdict = extra.select("doc").distinct().join(has_base, "doc", "left").join(has_extra, "doc", "left").join(common, "doc", "left").join(apart, "doc", "left")
-        both = F.coalesce("_base", F.lit(False)) & F.coalesce("_extra", F.lit(False))
-        out = verdict.where(both & (F.col("_common").isNull() | F.coalesce("_apart", F.lit(False)))).select("doc")
-        merged = first_facts(merged.unionByName(extra.join(out, "doc", "left_anti")), key, ["table_no", "_n"])
-    return first_facts(merged, key, ["table_no", "_n"]).drop("_n", "name_key")
+    names = f.where(~F.col("is_total")).select("doc", "name_key", "table_no").distinct()
+    shared = names.join(names.select("doc", "name_key", F.col("table_no").alias("earlier")), ["doc", "name_key"]).where("earlier < table_no")
+    shared = shared.groupBy("doc", "table_no").agg(F.collect_set("earlier").alias("shares"))
+    amount = F.coalesce("amount", F.lit(0.0))
+    totals = f.where("is_total").groupBy("doc", "table_no", *PERIOD).agg(F.min_by(amount, "fact_no").alias("first"), F.max_by(amount, "fact_no").alias("last"))
+    totals = totals.groupBy("doc", "table_no").agg(F.collect_list(F.struct(F.struct(*PERIOD).alias("of"), "first", "last")).alias("totals"))
+    tables = f.groupBy("doc", "table_no").agg(F.max(~F.col("is_total")).alias("named")).join(shared, ["doc", "table_no"], "left").join(totals, ["doc", "table_no"], "left")
+    one = F.struct("table_no", "named", F.coalesce("shares", F.array().cast("array<bigint>")).alias("shares"), F.coalesce("totals", F.filter(F.array(F.struct(F.struct(F.lit(None).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date")).alias("of"), F.lit(0.0).alias("first"), F.lit(0.0).alias("last"))), lambda x: F.lit(False))).alias("totals"))
+    docs = tables.withColumn("table_no", F.col("table_no").cast("bigint")).groupBy("doc").agg(F.array_sort(F.collect_list(one)).alias("tables"))
+
+    def step(kept, t):
+        both = F.exists(kept, lambda k: k["named"]) & t["named"]
+        apart = F.size(F.array_intersect(t["shares"], F.transform(kept, lambda k: k["table_no"]))) == 0
+        before = F.flatten(F.transform(kept, lambda k: k["totals"]))  # in order of tables: the first of a period counts
+        base = lambda x: F.get(F.filter(before, lambda b: b["of"] == x["of"]), F.lit(0))["first"]
+        other = F.exists(t["totals"], lambda x: F.coalesce(F.abs(base(x) - x["last"]) > 0.01 * F.abs(base(x)), F.lit(False)))
+        return F.when(both & (apart | other), kept).otherwise(F.concat(kept, F.array(t)))
+
+    empty = F.filter("tables", lambda t: F.lit(False))
+    kept = docs.select("doc", F.explode(F.transform(F.aggregate("tables", empty, step), lambda k: k["table_no"])).alias("table_no"))
+    return first_facts(f.withColumn("table_no", F.col("table_no").cast("bigint")).join(kept, ["doc", "table_no"]), key, ["table_no", "fact_no"]).drop("name_key")
 
 
 def with_metrics(revenue: DataFrame, metrics: DataFrame) -> DataFrame:

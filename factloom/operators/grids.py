@@ -16,7 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import FINAL_TOTALS, SUBTOTALS, YEAR
+from ..functions.numbers import numeric_text
+from ..functions.text import FINAL_TOTALS, SUBTOTALS, YEAR, clean_header, clean_name, strip
+from .linkage import containing
 
 # Words that tell what a cell or a row is about.
 REVENUE = "收入|收益|營業額|营业额|銷售額|销售额|銷售|销售|revenue|turnover|sales"
@@ -66,52 +68,82 @@ def column_header(grid: Column, column: int | Column, rows: int = 5) -> Column:
 
 
 def _said(cell: Column) -> Column:
-    """A cell with text that isn't a number."""
+    """A cell with text that isn't a number (X7); an amount in brackets counts as one whatever stands in them."""
     s = F.coalesce(cell, F.lit(""))
-    return (F.trim(s) != "") & ~s.rlike(r"[\d.]|^(?!-$|——$).*-")
+    return (strip(s) != "") & (numeric_text(s) == "")
 
 
-def _name_key(n: Column) -> Column:
-    """The part of a prior name that is looked for: its last part after a dash, before a colon."""
-    return F.element_at(F.split(F.element_at(F.split(F.replace(F.lower(F.trim(n)), F.lit("之"), F.lit("")), "-"), -1), ":"), 1)
+def bare_text(text: Column) -> Column:
+    """A cell as names are looked for in it: small letters, no blanks, no 之."""
+    return F.replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), r" |\\n|\n", "")), F.lit("之"), F.lit(""))
 
 
-def _bare(text: Column) -> Column:
-    return F.replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s", "")), F.lit("之"), F.lit(""))
+def label_keys(text: Column) -> Column:
+    """The forms without blanks in which a cell may name a product: as it is, as a row's label, as a column's header."""
+    return F.array_distinct(F.transform(F.array(strip(F.coalesce(text, F.lit(""))), clean_name(text), clean_header(F.replace(text, F.lit("\n"), F.lit(" ")))), lambda x: F.replace(x, F.lit(" "), F.lit(""))))
 
 
-def _named(text: Column, n: Column) -> Column:
-    """A name's key, or all letters of a long dashed name, are in a bare text."""
-    key = _name_key(n)
-    return (key != "") & (text.contains(key) | ((F.length(n) > 10) & n.contains("-") & F.forall(F.split(n, ""), lambda ch: text.contains(ch))))
+def with_names(grids: DataFrame, names: DataFrame) -> DataFrame:
+    """``grids`` with what prior names say of their cells.
 
-
-def classify(grid: Column, title: Column, names: Column) -> Column:
+    ``grids``: infocode, table_id, grid; ``names``: infocode, name, distinct. Added: has_names (the document has prior
+    names), named (the ``bare_text`` of cells that a name is in) and known (those ``label_keys`` that contain a name
+    or are contained in one). Names and cells meet by grams within their document; what a grid is given is bounded by
+    its cells, not by the names of its document.
+    """
+    key = ["infocode"]
+    cells = grids.select("infocode", "table_id", F.explode(F.array_distinct(F.flatten("grid"))).alias("cell")).where("cell is not null")
+    forms = F.array_union(F.array(F.concat(F.lit("b"), bare_text(F.col("cell")))), F.transform(label_keys(F.col("cell")), lambda x: F.concat(F.lit("l"), x)))
+    # one text with its kind before it, so that cells and labels are told apart and met together
+    every = cells.select("infocode", "table_id", F.explode(forms).alias("form")).where(F.length("form") > 1).distinct()
+    texts = every.select("infocode", "form").distinct().select("infocode", F.substring("form", 1, 1).alias("kind"), F.substring("form", 2, 1 << 30).alias("text"))
+    whole = F.replace(strip("name"), F.lit("之"), F.lit(""))
+    part = F.element_at(F.split(F.element_at(F.split(whole, "-"), -1), ":"), 1)
+    looked = names.select("infocode", F.explode(F.array(F.struct(F.lit("b").alias("kind"), part.alias("text")), F.struct(F.lit("l").alias("kind"), F.replace("name", F.lit(" "), F.lit("")).alias("text")))).alias("n")).select("infocode", "n.kind", "n.text").distinct()
+    hits = containing(looked, texts, [*key, "kind"]).select("infocode", "kind", F.col("outer").alias("text"))
+    under = containing(texts.where("kind = 'l'"), looked.where("kind = 'l'"), [*key, "kind"]).select("infocode", "kind", F.col("inner").alias("text"))
+    # a long dashed name is in a text that has all its letters, the dash among them
+    long = names.select("infocode", whole.alias("whole")).where((F.length("whole") > 10) & F.col("whole").contains("-")).select("infocode", F.split("whole", "").alias("letters")).distinct()
+    spelled = texts.where((F.col("kind") == "b") & F.col("text").contains("-")).join(long, key).where(F.forall("letters", lambda x: F.col("text").contains(x))).select("infocode", "kind", "text")
+    found = hits.union(under).union(spelled).select("infocode", F.concat("kind", "text").alias("form")).distinct()
+    met = every.join(found, ["infocode", "form"])
+    of = lambda kind: F.collect_set(F.when(F.col("form").startswith(kind), F.substring("form", 2, 1 << 30)))
+    per_table = met.groupBy("table_id").agg(of("b").alias("named"), of("l").alias("known"))
+    none = F.array().cast("array<string>")
+    out = grids.join(per_table, "table_id", "left").join(names.select("infocode").distinct().withColumn("has_names", F.lit(True)), "infocode", "left")
+    return out.withColumns({"named": F.coalesce("named", none), "known": F.coalesce("known", none), "has_names": F.coalesce("has_names", F.lit(False))})
+
+
+def classify(grid: Column, title: Column, named: Column) -> Column:
     """How a grid holds products: 'profit_loss', 'product_in_rows', 'product_in_columns' or 'unsupported'.
 
-    In order: a title of profit and loss; prior names hit in a row against in a column; words on the timing of
-    recognition with text beside or below; words of a split by product; density of text. Only the names that
-    occur anywhere in the grid are looked for in its cells.
+    In order: a title of profit and loss; cells that prior names are in, the most in a row against the most in a
+    column; words on the timing of recognition, each cell with one voting for rows and columns where other text
+    stands; words of a split by product; density of text. ``named`` has the ``bare_text`` of the cells with names.
     """
-    text = F.array(_bare(F.array_join(F.flatten(grid), "/")))
-    near = F.flatten(F.transform(text, lambda t: F.filter(names, lambda n: F.coalesce(_named(t, n), F.lit(False)))))
     # Lambdas over one-element arrays bind a value once, where a nested expression would be worked out again.
-    bound = F.array(F.struct(grid.alias("grid"), near.alias("names")))
-    return F.coalesce(F.when(F.coalesce(title.rlike(PROFIT_TITLE), F.lit(False)), "profit_loss"), F.get(F.transform(bound, lambda b: _orientation(b["grid"], b["names"])), F.lit(0)))
+    bound = F.array(F.struct(grid.alias("grid"), named.alias("named")))
+    return F.coalesce(F.when(F.coalesce(title.rlike(PROFIT_TITLE), F.lit(False)), "profit_loss"), F.get(F.transform(bound, lambda b: _orientation(b["grid"], b["named"])), F.lit(0)))
 
 
-def _orientation(grid: Column, names: Column) -> Column:
+def _orientation(grid: Column, named: Column) -> Column:
     width = F.array_max(F.transform(grid, lambda r: F.size(r)))
     columns = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: F.transform(grid, lambda r: F.get(r, c)))
-    found = lambda x: F.exists(names, lambda n: F.coalesce(_named(_bare(x), n), F.lit(False)))
-    hits = lambda cells: F.when(F.size(names) > 0, F.size(F.filter(cells, found))).otherwise(F.lit(0))
+    hits = lambda cells: F.size(F.filter(cells, lambda x: F.coalesce(F.array_contains(named, bare_text(x)), F.lit(False))))
     by_row, by_col = F.array_max(F.transform(grid, hits)), F.array_max(F.transform(columns, hits))
     row_text, col_text = F.size(F.filter(F.get(grid, F.lit(0)), _said)), F.size(F.filter(F.get(columns, F.lit(0)), lambda x: F.coalesce(_said(x), F.lit(False))))
     timing = "|".join(TIMING_WORDS)
-    beside = lambda cells: F.exists(cells, lambda x: F.coalesce(x.rlike(timing), F.lit(False))) & (F.size(F.filter(cells, lambda x: F.coalesce(_said(x) & ~x.rlike(timing), F.lit(False)))) > 0)
+
+    def votes(cells: Column) -> Column:
+        """Cells with a word of timing that have another text beside them: one that isn't the least or isn't the greatest."""
+        said = F.filter(cells, lambda x: F.coalesce(_said(x), F.lit(False)))
+        ends = F.array(F.struct(F.array_min(said).alias("lo"), F.array_max(said).alias("hi")))
+        return F.get(F.transform(ends, lambda e: F.size(F.filter(cells, lambda x: F.coalesce(x.rlike(timing) & ((e["lo"] != x) | (e["hi"] != x)), F.lit(False))))), F.lit(0))
+
+    total = lambda lines: F.aggregate(F.transform(lines, votes), F.lit(0), lambda acc, x: acc + x)
     split = F.exists(F.flatten(grid), lambda x: F.coalesce(x.rlike("|".join(SPLIT_WORDS)), F.lit(False)))
     counted = F.array(F.struct(
-        by_row.alias("r"), by_col.alias("c"), row_text.alias("rt"), col_text.alias("ct"), F.size(F.filter(grid, beside)).alias("rv"), F.size(F.filter(columns, beside)).alias("cv"),
+        by_row.alias("r"), by_col.alias("c"), row_text.alias("rt"), col_text.alias("ct"), total(grid).alias("rv"), total(columns).alias("cv"),
         split.alias("split"), (F.size(grid) >= 2).alias("tall"), (width >= 2).alias("wide")))
     rows, cols = F.lit("product_in_rows"), F.lit("product_in_columns")
 
@@ -175,15 +207,14 @@ class Reading:
     """A grid with the lookups that the three ways of reading share."""
 
     rows: list[list[str]]
-    names: list[str]
-    text: str
+    labels: frozenset[str]  # the label keys that overlap a prior name
+    has_names: bool
+    year: int | None  # of the text around the grid
+    years_said: tuple[int, ...]  # all of that text, in order
     end: date | None
     months: int
-    year: int | None = field(init=False)
 
     def __post_init__(self) -> None:
-        self.names = [k for n in self.names if (k := n.replace(" ", ""))]
-        self.year = read_year(self.text)
         self.width = max(map(len, self.rows), default=0)
 
     def cell(self, row: int, col: int) -> str:
@@ -200,8 +231,7 @@ class Reading:
 
     def known(self, name: str) -> bool:
         """A name contains a prior name or is contained in one."""
-        k = name.replace(" ", "")
-        return any(k in n or n in k for n in self.names)
+        return name.replace(" ", "") in self.labels
 
     def header(self, col: int, width: int | None = None) -> str:
         """P9 on the Python side."""
@@ -211,7 +241,7 @@ class Reading:
 
     def cut_at_break(self) -> None:
         """Rows from the first label without numbers that no prior name explains, once data has begun."""
-        if not self.names:
+        if not self.has_names:
             return
         begun = False
         for i, r in enumerate(self.rows):
@@ -359,6 +389,9 @@ def facts_by_statement(g: Reading) -> list[Fact]:
     """Products next to the revenue line of a statement of profit or loss."""
     n = len(g.rows)
     years = g.years(implicit=False)
+    if not years and g.years_said:  # the years of the text, given to the columns of numbers in order
+        filled_columns = [c for c in range(1, g.width) if any(g.number(i, c) is not None for i in range(len(g.rows)))]
+        years = [(c, g.years_said[min(k, len(g.years_said) - 1)]) for k, c in enumerate(filled_columns)]
     if not years:
         return []
     first = [g.cell(i, 0).strip() for i in range(n)]
@@ -407,31 +440,34 @@ def facts_by_statement(g: Reading) -> list[Fact]:
 STRATEGIES = {"product_in_columns": facts_by_columns, "product_in_rows": facts_by_rows, "profit_loss": facts_by_statement}
 
 
+FACT = "table_id string, fact_no int, metric string, product_name string, amount double, start_date date, end_date date, currency string, unit string, error string"
+
+
 def grid_facts(grids: DataFrame) -> DataFrame:
-    """Facts of all grids: (table_id, fact_no, product_name, amount, start_date, end_date, error).
+    """Facts of all grids: (table_id, fact_no, metric, product_name, amount, start_date, end_date, currency, unit, error).
 
-    ``grids`` has table_id, grid, classification, names, period_text, period_end, period_months (12 for null).
-    A grid of no known class and a null grid give no row; one that can't be read gives a row with the error
-    alone, and fails no other (C5).
+    ``grids`` has table_id, grid, classification, known and has_names (``with_names``), and of the text around it
+    period_year, period_years, period_end, period_months (12 for null), currency, unit. A grid of no known class and
+    a null grid give no row; one that can't be read gives a row with the error alone, and fails no other (C5).
     """
+    columns = [x.split(" ")[0] for x in FACT.split(", ")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for r in b.itertuples(index=False):
-                strategy = STRATEGIES.get(r.classification)
-                if strategy is None or r.grid is None:
-                    continue
                 rows = [[str(x) if x is not None else "" for x in row] for row in r.grid if row is not None]
-                names = [x for x in (r.names if r.names is not None else []) if x]
+                known = frozenset(r.known if r.known is not None else ())
+                said = tuple(sorted(set(map(int, r.period_years)))) if r.period_years is not None else ()
                 months = 12 if pd.isna(r.period_months) else int(r.period_months)
+                year = None if pd.isna(r.period_year) else int(r.period_year)
                 try:
-                    facts = strategy(Reading(rows, names, r.period_text or "", r.period_end if isinstance(r.period_end, date) else None, months))
+                    facts = STRATEGIES[r.classification](Reading(rows, known, bool(r.has_names), year, said, r.period_end if isinstance(r.period_end, date) else None, months))
                 except (ValueError, OverflowError, IndexError, TypeError, AttributeError) as e:
-                    out.append((r.table_id, 0, None, None, None, None, f"{type(e).__name__}: {e}"))
+                    out.append((r.table_id, 0, "MBREVENUE", None, None, None, None, None, None, f"{type(e).__name__}: {e}"))
                     continue
-                out += [(r.table_id, k, *f, None) for k, f in enumerate(facts)]
-            yield pd.DataFrame(out, columns=["table_id", "fact_no", "product_name", "amount", "start_date", "end_date", "error"])
+                out += [(r.table_id, k, "MBREVENUE", *f, r.currency, r.unit, None) for k, f in enumerate(facts)]
+            yield pd.DataFrame(out, columns=columns)
 
-    columns = grids.select("table_id", "grid", "classification", "names", "period_text", "period_end", "period_months")
-    return columns.mapInPandas(read, "table_id string, fact_no int, product_name string, amount double, start_date date, end_date date, error string")
+    known_class = grids.where(F.col("classification").isin(*STRATEGIES) & F.col("grid").isNotNull())
+    return known_class.select("table_id", "grid", "classification", "known", "has_names", "period_year", "period_years", "period_end", "period_months", "currency", "unit").mapInPandas(read, FACT)

@@ -35,19 +35,22 @@ class Geometry:
 def words_of_lines(lines: DataFrame) -> DataFrame:
     """Words of lines, each with its share of the line's width by its characters.
 
-    Stands in for a PDF's word boxes where only lines were kept. Null and blank lines have no words.
+    Stands in for a PDF's word boxes where only lines were kept. Null and blank lines have no words. Lines are
+    shuffled by page here, once for all that follows; a section_id is passed on.
     """
     t = F.col("text")
+    lines = lines.repartition(*PAGE)
+    more = ["section_id"] if "section_id" in lines.columns else []
     step = (F.col("x1") - F.col("x0")) / F.length(t)
     parts = F.posexplode(F.split(t, r"\s+"))
-    words = lines.where(t.isNotNull() & (F.length(t) > 0)).select(*PAGE, "line_id", "line_no", "text", "x0", "top", "bottom", step.alias("_step"), parts.alias("word_no", "word"))
+    words = lines.where(t.isNotNull() & (F.length(t) > 0)).select(*PAGE, *more, "line_id", "line_no", "text", "x0", "top", "bottom", step.alias("_step"), parts.alias("word_no", "word"))
     # the start of a word: the characters of the line's words before it, white space between them counted as one
     before = Window.partitionBy(*PAGE, "line_id").orderBy("word_no").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length("word") + 1).over(before), F.lit(0))
     placed = words.withColumn("_start", start).where(F.length("word") > 0)
     x0 = F.round(F.col("x0") + F.col("_start") * F.col("_step"), 2)
     x1 = F.round(F.col("x0") + (F.col("_start") + F.length("word")) * F.col("_step"), 2)
-    return placed.select(*PAGE, "line_id", "word_no", F.col("word").alias("text"), x0.alias("x0"), x1.alias("x1"), "top", "bottom")
+    return placed.select(*PAGE, *more, "line_id", "word_no", F.col("word").alias("text"), x0.alias("x0"), x1.alias("x1"), "top", "bottom")
 
 
 def section_boxes(sectioned: DataFrame, pages: DataFrame | None = None) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_width
+from .linkage import containing
 
 # Words in titles that rule a section out, words of which a title needs one, and words of its text.
 NEVER = (
@@ -36,52 +37,113 @@ TIERS = (
 )
 
 
+_BLANK = r"^\s+|\s+$"
+
+
 def _words(words: tuple[str, ...]) -> str:
     return "|".join(words)
 
 
-def related_sections(sections: DataFrame) -> DataFrame:
-    """Sections whose title and text admit a table of revenue. Needs title and text."""
-    title, text = F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))
+def section_marks(lines: DataFrame) -> DataFrame:
+    """One row for each section: its title, and which words its lines have; no section's text is gathered.
+
+    ``lines`` carry infocode, section_id, line_no, text and perhaps title, else a section's first text is its title.
+    The words looked for don't run over the end of a line.
+    """
+    title = F.first("title") if "title" in lines.columns else F.min_by(F.coalesce("text", F.lit("")), "line_no")
+    has = lambda words, name: F.max(F.coalesce(F.col("text").rlike(_words(words)), F.lit(False))).alias(name)
+    return lines.groupBy("infocode", "section_id").agg(
+        title.alias("title"), has(("分部",), "has_segment"), has(REVIEWED, "has_reviewed"), has(("千港元", "万港元"), "names_unit"),
+        has(REVENUE_WORDS, "has_revenue"), has(COST_WORDS, "has_cost"), has(GROSS_WORDS, "has_gross"), has(("毛利", "(?i)gross profit"), "tells_gross"), has(("成本", "(?i)cost"), "tells_cost"),
+    )
+
+
+def related_sections(marks: DataFrame) -> DataFrame:
+    """The sections of ``section_marks`` whose title and lines admit a table of revenue."""
+    title = F.coalesce("title", F.lit(""))
     admitted = (
         ~title.rlike(_words(NEVER))
-        & ~(title.rlike(_words(BALANCE)) & ~title.contains("分部") & ~text.contains("分部"))
-        & ~(title.rlike(_words(REVIEW)) & ~text.rlike(_words(REVIEWED)))
+        & ~(title.rlike(_words(BALANCE)) & ~title.contains("分部") & ~F.col("has_segment"))
+        & ~(title.rlike(_words(REVIEW)) & ~F.col("has_reviewed"))
         & title.rlike(_words(NEEDED))
         & ~title.rlike(_words(REGIONS))
     )
-    return sections.where(admitted)
+    return marks.where(admitted)
+
 
+def usable_name(name: Column) -> Column:
+    """A3: a prior name, narrow, of a compound name the first part; null for totals and companies."""
+    narrow = F.array(fold_width(name))  # a lambda over one element binds a value once
+    first = F.transform(narrow, lambda x: F.when(x.rlike("[╱/]"), F.regexp_replace(F.element_at(F.split(x, "[╱/]"), 1), _BLANK, "")).otherwise(x))
+    return F.when(~name.rlike("合計|合计|總計|总计|總額|总额|total|公司"), F.get(first, F.lit(0)))
 
-def usable_names(names: Column) -> Column:
-    """A3: distinct prior names, narrow, without totals, of compound names the first part; order kept."""
-    kept = F.filter(F.array_distinct(names), lambda n: ~n.rlike("合計|合计|總計|总计|總額|总额|total|公司"))
-    return F.array_distinct(F.transform(kept, lambda n: F.regexp_replace(F.element_at(F.split(fold_width(n), "[╱/]"), 1), r"^\s+|\s+$", "")))
 
+def name_part(name: Column) -> Column:
+    """The part of a prior name that is looked for: its last part after a dash, before a colon."""
+    return F.element_at(F.split(F.element_at(F.split(name, "-"), -1), ":"), 1)
+
+
+_WITHIN = ["infocode"]
+
+
+def name_hits(words: DataFrame, names: DataFrame) -> DataFrame:
+    """(infocode, section_id, hits): how many prior names of its document a section has.
+
+    Counted are the names whose part is in a word, those whose part is a word, and those all of whose letters are in
+    the section; the greatest count holds. ``words``: infocode, section_id, text; ``names``: infocode, name, distinct.
+    Names meet words through grams and letters of their document, so no names are gathered.
+    """
+    w = words.select("infocode", "section_id", "text").distinct()
+    loose = F.replace(F.regexp_replace("text", r"[ \n]", ""), F.lit("之"), F.lit(""))
+    bare = w.select("infocode", "section_id", loose.alias("outer"))
+    trimmed = F.regexp_replace("name", _BLANK, "")
+    n = names.select("infocode", "name", F.replace(trimmed, F.lit("之"), F.lit("")).alias("whole"), F.element_at(F.split(name_part(trimmed), "[╱/]"), 1).alias("exact"))
+    n = n.withColumn("inner", name_part(F.col("whole")))
+    pairs = containing(n.select("infocode", F.col("inner").alias("text")), bare.select("infocode", F.col("outer").alias("text")), _WITHIN)
+    parts = n.join(pairs, ["infocode", "inner"]).join(bare, ["infocode", "outer"]).select("infocode", "section_id", "name")
+    equal = n.where(F.length("exact") > 0).join(w.withColumnRenamed("text", "exact"), ["infocode", "exact"]).select("infocode", "section_id", "name")
 
-def name_hits(text: Column, names: Column) -> Column:
-    """How many names occur in a text: by their last part, or all of whose letters do, whichever is more."""
-    bare = F.regexp_replace(F.replace(text, F.lit("之"), F.lit("")), r"\s", "")
-    key = lambda n: F.element_at(F.split(F.element_at(F.split(F.replace(n, F.lit("之"), F.lit("")), "-"), -1), ":"), 1)
-    parts = F.size(F.filter(names, lambda n: (key(n) != "") & bare.contains(key(n))))
-    letters = F.size(F.filter(names, lambda n: (F.length(n) > 0) & F.forall(F.split(F.regexp_replace(n, r"\s", ""), ""), lambda c: text.contains(c))))
-    return F.greatest(parts, letters)
+    # letters: a section is tried for a name only if it has the two of the name's letters that fewest sections have
+    letters = w.select("infocode", "section_id", F.explode(F.split("text", "")).alias("letter")).distinct()
+    spelled = n.select("infocode", "name", F.array_distinct(F.split(F.regexp_replace(fold_width(trimmed), " ", ""), "")).alias("all"), F.lit(False).alias("long"))
+    dashed = n.where((F.length("whole") > 10) & F.col("whole").contains("-")).select("infocode", "name", F.array_distinct(F.split("whole", "")).alias("all"), F.lit(True).alias("long"))
+    spelled = spelled.where(F.get("all", F.lit(0)) != "").unionByName(dashed)
+    common = letters.groupBy("infocode", "letter").agg(F.count("*").alias("n"))
+    met = spelled.select("infocode", "name", "all", "long", F.explode("all").alias("letter")).join(common, ["infocode", "letter"])
+    rare = met.groupBy("infocode", "name", "long").agg(F.first("all").alias("all"), F.array_sort(F.collect_list(F.struct("n", "letter"))).alias("by"))
+    # a letter that no section has rules a name out
+    rare = rare.where(F.size("by") == F.size("all")).select("infocode", "name", "long", "all", F.get("by", F.lit(0))["letter"].alias("letter"), F.coalesce(F.get("by", F.lit(1)), F.get("by", F.lit(0)))["letter"].alias("second"))
+    tried = rare.join(letters, ["infocode", "letter"]).join(letters.withColumnRenamed("letter", "second"), ["infocode", "section_id", "second"])
+    held = letters.groupBy("infocode", "section_id").agg(F.collect_set("letter").alias("held"))
+    tried = tried.join(held, ["infocode", "section_id"])
+    whole = tried.where(F.size(F.array_except("all", "held")) == 0)
+    found = [(parts, 0), (equal, 1), (whole.where("not long").select("infocode", "section_id", "name"), 2), (whole.where("long").select("infocode", "section_id", "name"), 0)]
+    every = None
+    for df, kind in found:
+        df = df.withColumn("kind", F.lit(kind))
+        every = df if every is None else every.unionByName(df)
+    counts = every.distinct().groupBy("infocode", "section_id", "kind").agg(F.count("*").cast("int").alias("n"))
+    return counts.groupBy("infocode", "section_id").agg(F.max("n").alias("hits"), F.coalesce(F.max(F.when(F.col("kind") == 1, F.col("n"))), F.lit(0)).alias("exact_hits"))
 
 
 def best_sections(sections: DataFrame) -> DataFrame:
-    """The one section chosen for each document, with the rule that chose it.
+    """The one section chosen for each document, with the rule that chose it.
 
-    ``sections``: infocode, section_id, title, text, n_names, hits. Rules in order: the only section that hits
-    all names; of several such, one of profit and loss with revenue, cost and gross profit; for a single prior
-    name, a related section of profit and loss; among the sections with most hits the first by the tiers of
-    titles; the first of them.
+    ``sections``: infocode, section_id, title, has_revenue, has_cost, has_gross, n_names, hits, exact_hits of the
+    related sections. Rules in order: the only section that hits all names; of several such, one of profit and loss
+    with revenue, cost and gross profit; for a single prior name and several candidates, a related section of profit
+    and loss; among several candidates, the sections with most hits, the first by the tiers of titles; the first of
+    them. ``all_names``: the section hits all names, in one count or as words. Aggregates by document only; a large
+    document's sections are folded before they meet.
     """
-    doc = Window.partitionBy("infocode")
     full = (F.col("n_names") > 0) & (F.col("hits") >= F.col("n_names"))
-    s = sections.withColumn("_full", full).withColumn("_n_full", F.count_if("_full").over(doc)).withColumn("_most", F.max("hits").over(doc))
-    s = s.withColumn("_candidate", F.when(F.col("_n_full") > 0, F.col("_full")).otherwise(F.col("hits") == F.col("_most"))).withColumn("_n", F.count_if("_candidate").over(doc))
-    pl = F.col("title").rlike(_words(PROFIT_TITLES))
-    whole = pl & F.col("text").rlike(_words(REVENUE_WORDS)) & F.col("text").rlike(_words(COST_WORDS)) & F.col("text").rlike(_words(GROSS_WORDS))
+    s = sections.withColumn("_full", full)
+    levels = s.groupBy("infocode", "hits").agg(F.count("*").alias("k"), F.max("_full").alias("f"))
+    top = levels.groupBy("infocode").agg(F.max("hits").alias("_most"), F.max_by("k", "hits").alias("_n_most"), F.sum(F.when(F.col("f"), F.col("k")).otherwise(0)).alias("_n_full"))
+    s = s.join(top, "infocode")
+    s = s.withColumn("_candidate", F.when(F.col("_n_full") > 0, F.col("_full")).otherwise(F.col("hits") == F.col("_most"))).withColumn("_n", F.when(F.col("_n_full") > 0, F.col("_n_full")).otherwise(F.col("_n_most")))
+    pl = F.coalesce(F.col("title").rlike(_words(PROFIT_TITLES)), F.lit(False))
+    whole = pl & F.col("has_revenue") & F.col("has_cost") & F.col("has_gross")
     tier = F.lit(len(TIERS))
     for k in reversed(range(len(TIERS))):
         tier = F.when(F.col("title").rlike(TIERS[k]), k).otherwise(tier)
@@ -89,9 +151,10 @@ def best_sections(sections: DataFrame) -> DataFrame:
         F.when((F.col("_n_full") == 1) & F.col("_full"), 1)
         .when((F.col("_n_full") > 1) & F.col("_full") & whole, 2)
         .when((F.col("n_names") == 1) & (F.col("_n") > 1) & pl, 3)
-        .when(F.col("_candidate") & (tier < len(TIERS)), 4)
+        .when(F.col("_candidate") & (F.col("_n") > 1) & (F.col("_tier") < len(TIERS)), 4)
         .when(F.col("_candidate"), 5)
     )
-    s = s.withColumn("rule", rule).withColumn("tier", tier).where("rule is not null")
-    order = F.struct("rule", F.when(F.col("rule") == 4, F.col("tier")).otherwise(0), "section_id")
-    return s.groupBy("infocode").agg(F.min_by(F.struct("section_id", "title", "hits", "rule", F.col("_full").alias("all_names")), order).alias("c")).select("infocode", "c.*")
+    s = s.withColumn("_tier", tier).withColumn("rule", rule).where("rule is not null")
+    order = F.struct("rule", F.when(F.col("rule") == 4, F.col("_tier")).otherwise(0), "section_id")
+    all_names = F.col("_full") | ((F.col("n_names") > 0) & (F.col("exact_hits") >= F.col("n_names")))
+    return s.groupBy("infocode").agg(F.min_by(F.struct("section_id", "title", "hits", "rule", all_names.alias("all_names")), order).alias("c")).select("infocode", "c.*")

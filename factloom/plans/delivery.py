@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import periods as p
-from ..functions import text as t
 from ..operators import grids as gr
 from ..operators import layout as la
 from ..operators import lines as ln
+from ..operators import records as rc
 from ..operators import selection as se
 from ..sources import exports as ex
-from ..sources.tables import table
+from ..sources.tables import shared_dir, table
 from ..streaming.ingest import sessions
 from . import documents as doc
 
@@ -67,55 +66,84 @@ def html_cells(spark: SparkSession, data_dir: str) -> DataFrame:
     return gr.cells_long(flat.select("row_id", gr.html_grid(F.col("html")).alias("grid")), "row_id")
 
 
-def _grids(spark: SparkSession, data_dir: str) -> DataFrame:
-    lines = table(spark, data_dir, "doc_lines").where("infocode is not null")
-    made = la.assemble_grids(la.row_blocks(la.row_table(la.word_rows(la.words_of_lines(lines)))))
-    return made.select("infocode", F.concat_ws(":", "infocode", "page_number", "block_no").alias("table_id"), "page_number", "grid")
+def _lines(spark: SparkSession, data_dir: str) -> DataFrame:
+    return table(spark, data_dir, "doc_lines").where("infocode is not null")
 
 
-def _classified(spark: SparkSession, data_dir: str) -> DataFrame:
-    names = table(spark, data_dir, "flat_export").where("infocode is not null and productname is not null").select("infocode", t.clean_name(F.col("productname")).alias("name")).distinct()
-    prior = names.groupBy("infocode").agg(se.usable_names(F.array_sort(F.collect_set("name"))).alias("names"))
-    g = _grids(spark, data_dir).join(prior, "infocode", "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
-    return g.withColumn("classification", gr.classify(F.col("grid"), F.lit(""), F.col("names")))
+def _names(spark: SparkSession, data_dir: str) -> DataFrame:
+    return rc.prior_names(table(spark, data_dir, "flat_export").select("infocode", "productname"))
+
+
+def html_classified(spark: SparkSession, data_dir: str) -> DataFrame:
+    """E2, A9 over grids read from HTML: the headings, first cells and amounts of the export by filing's names."""
+    flat = table(spark, data_dir, "flat_export").where("infocode is not null")
+    esc = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), "[<>]", "")
+    row = lambda *cells: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cells], F.lit("</tr>"))
+    # laid out by the row's number: down, across, with words of timing, with words of a split, or bare
+    words = F.get(F.array(F.lit("隨時間"), F.lit("按產品"), F.lit("時間點(註)"), F.lit("附註"), F.lit("")), (F.col("row_id") % 5).cast("int"))
+    down = F.concat(row(words, F.lit("2024")), row(esc(F.col("productname")), esc(F.col("mbrevenue"))), row(esc(F.col("currency")), esc(F.col("mbcost"))))
+    across = F.concat(row(words, esc(F.col("productname")), esc(F.col("currency"))), row(F.lit("隨時間"), esc(F.col("mbrevenue")), esc(F.col("mbcost"))))
+    made = flat.select("infocode", F.col("row_id").cast("string").alias("table_id"), gr.html_grid(F.when(F.col("row_id") % 2 == 0, down).otherwise(across)).alias("grid"))
+    named = gr.with_names(made, _names(spark, data_dir))
+    return named.select("table_id", gr.classify(F.col("grid"), F.lit(""), F.col("named")).alias("classification"))
 
 
 def grids_classified(spark: SparkSession, data_dir: str) -> DataFrame:
-    """How each grid holds products."""
-    return _classified(spark, data_dir).select("table_id", F.size("grid").alias("n_rows"), "classification")
+    """How each table of each section holds products, by the section's title and the filing's names."""
+    sectioned = rc.sectioned_lines(_lines(spark, data_dir))
+    titles = sectioned.select(*rc.SECTION, "title").distinct()
+    g = gr.with_names(rc.section_grids(rc.section_words(sectioned), titles), _names(spark, data_dir)).join(titles, rc.SECTION)
+    return g.select("table_id", F.size("grid").alias("n_rows"), gr.classify(F.col("grid"), F.col("title"), F.col("named")).alias("classification"))
+
+
+def _extracted(spark: SparkSession, data_dir: str) -> rc.Extraction:
+    shared_dir(spark)
+    return rc.extract(table(spark, data_dir, "doc_lines"), table(spark, data_dir, "flat_export").select("infocode", "productname", "mbcost", "gross_profit"))
 
 
 def grid_facts(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Facts of all grids, the period taken from the lines of their page."""
-    lines = table(spark, data_dir, "doc_lines").where("infocode is not null").withColumn("end", p.period_end(F.col("text")))
-    first = lines.where("end is not null").groupBy("infocode", "page_number").agg(F.min_by(F.struct("end", "text"), "line_no").alias("f"))
-    g = _classified(spark, data_dir).join(first, ["infocode", "page_number"], "left")
-    text = F.concat_ws(" ", "f.text", p.year_hint(F.col("infocode")))
-    return gr.grid_facts(g.select("table_id", "grid", "classification", "names", text.alias("period_text"), F.col("f.end").alias("period_end"), p.period_months(text).alias("period_months")))
+    """The merged facts of the chosen section of each filing."""
+    return _extracted(spark, data_dir).facts.select("doc", "table_id", "fact_no", "metric", "product_name", "amount", "start_date", "end_date", "currency", "unit")
+
 
+def grid_metrics(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Cost and gross profit of the facts' products from other tables of the filing."""
+    return _extracted(spark, data_dir).metrics.drop("place")
 
-def _texts(spark: SparkSession, data_dir: str) -> DataFrame:
-    lines = ln.sectionize(table(spark, data_dir, "doc_lines").where("infocode is not null"))
-    pieces = F.array_sort(F.collect_list(F.struct("line_no", F.coalesce("text", F.lit("")).alias("text"))))
-    return lines.groupBy("infocode", "section_id").agg(pieces.alias("p")).select("infocode", "section_id", F.expr("p[0].text").alias("title"), F.array_join(F.transform("p", lambda x: x["text"]), "/").alias("text"))
+
+def extracted_records(spark: SparkSession, data_dir: str) -> DataFrame:
+    """From the lines of all filings to their records."""
+    return _extracted(spark, data_dir).records
+
+
+def extraction_outcomes(spark: SparkSession, data_dir: str) -> DataFrame:
+    """How the extraction of each filing went."""
+    return rc.outcomes(table(spark, data_dir, "doc_lines"), _extracted(spark, data_dir))
 
 
 def related_sections(spark: SparkSession, data_dir: str) -> DataFrame:
     """Sections that may hold the table of revenue."""
-    return se.related_sections(_texts(spark, data_dir)).select("infocode", "section_id", "title")
+    return se.related_sections(se.section_marks(ln.sectionize(_lines(spark, data_dir)))).select("infocode", "section_id", "title")
+
+
+def _hits(spark: SparkSession, data_dir: str) -> DataFrame:
+    sectioned = ln.sectionize(_lines(spark, data_dir))
+    words = la.words_of_lines(sectioned)
+    marks = la.table_like(words, se.related_sections(se.section_marks(sectioned))).where("is_table")
+    names = _names(spark, data_dir)
+    hits = se.name_hits(words.join(marks.select(*rc.SECTION), rc.SECTION, "left_semi"), names)
+    counts = names.groupBy("infocode").agg(F.count("*").cast("int").alias("n_names"))
+    return marks.join(hits, rc.SECTION, "left").join(counts, "infocode", "left").fillna(0, ["hits", "exact_hits", "n_names"])
 
 
 def section_hits(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Hits of the filing's names in its related sections."""
-    names = table(spark, data_dir, "flat_export").where("infocode is not null and productname is not null").select("infocode", "productname").distinct()
-    prior = names.groupBy("infocode").agg(se.usable_names(F.array_sort(F.collect_set("productname"))).alias("names"))
-    s = se.related_sections(_texts(spark, data_dir)).join(prior, "infocode", "left").withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
-    return s.select("infocode", "section_id", "title", "text", F.size("names").alias("n_names"), se.name_hits(F.col("text"), F.col("names")).alias("hits"))
+    """Hits of the filing's names in its related sections that look like tables."""
+    return _hits(spark, data_dir).select("infocode", "section_id", "title", "n_names", "hits", "exact_hits")
 
 
 def best_sections(spark: SparkSession, data_dir: str) -> DataFrame:
     """The section chosen for each filing."""
-    return se.best_sections(section_hits(spark, data_dir))
+    return se.best_sections(_hits(spark, data_dir))
 
 
 def set_operations(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -158,7 +186,7 @@ def gap_groups(spark: SparkSession, data_dir: str) -> DataFrame:
 QUERIES = {
     "e_export_groups": export_groups, "e_latest_runs": latest_runs, "e_inventory_roll_up": inventory_roll_up, "e_accepted": accepted, "e_status_ladder": status_ladder, "e_json_fields": json_fields,
     "e_event_property": event_property, "e_html_cells": html_cells, "t_grids_classified": grids_classified, "t_grid_facts": grid_facts, "t_related_sections": related_sections, "t_section_hits": section_hits,
-    "t_best_sections": best_sections, "o_set_operations": set_operations, "o_top_amounts": top_amounts, "o_year_columns": year_columns, "o_user_sessions": user_sessions, "o_gap_groups": gap_groups,
+    "t_best_sections": best_sections, "t_html_classified": html_classified, "t_grid_metrics": grid_metrics, "r_records": extracted_records, "r_outcomes": extraction_outcomes, "o_set_operations": set_operations, "o_top_amounts": top_amounts, "o_year_columns": year_columns, "o_user_sessions": user_sessions, "o_gap_groups": gap_groups,
 }
 
 _SECTION_TEXTS = f"""(SELECT infocode, section_id, arg_min([coalesce(text, '')], line_no)[1] AS title, string_agg(coalesce(text, ''), '/' ORDER BY line_no) AS text FROM {doc._SECTIONED} GROUP BY 1, 2)"""

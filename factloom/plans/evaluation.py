@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers as n
@@ -145,7 +145,7 @@ def _facts(spark: SparkSession, data_dir: str) -> DataFrame:
     flat = table(spark, data_dir, "flat_export").where(F.trim("infocode") != "")
     kind = t.label_kind(F.col("productname"))
     return flat.select(
-        F.col("infocode").alias("doc"), "source_code", F.col("row_id").alias("fact_no"), F.coalesce("productname", F.lit("")).alias("name"), kind.isNotNull().alias("is_total"), F.lit("MBREVENUE").alias("metric"),
+        F.col("infocode").alias("doc"), "source_code", F.col("row_id").alias("fact_no"), F.coalesce("productname", F.lit("")).alias("name"), kind.alias("kind"), F.trim("productname").isin("合计", "合計").alias("is_total"), F.lit("MBREVENUE").alias("metric"),
         n.to_double(F.col("mbrevenue")).alias("amount"), p.business_date(F.col("startdate")).alias("start_date"), p.business_date(F.col("reportdate")).alias("end_date"), "currency", "unit", "mbcost", "gross_profit",
     ).where("amount is not null and start_date is not null and end_date is not null")
 
@@ -162,10 +162,10 @@ def first_facts(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def merged_tables(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The facts of three sources merged under the guards."""
-    order = F.when(F.col("source_code") == EXPECTED, 0).when(F.col("source_code") == PREDICTED, 1).when(F.col("source_code") == "LDN", 2)
-    f = _facts(spark, data_dir).withColumn("table_no", order).where("table_no is not null")
-    return fa.merge_tables(f.select("doc", "table_no", "fact_no", "name", "is_total", "start_date", "end_date", "metric", "amount"), 3)
+    """The facts of all sources, each a table in the order of codes, merged under the guards."""
+    order = table(spark, data_dir, "source_systems").select("source_code", F.row_number().over(Window.orderBy("source_code")).alias("table_no"))  # a dozen rows
+    f = _facts(spark, data_dir).join(F.broadcast(order), "source_code").withColumn("is_total", F.coalesce("is_total", F.lit(False)))
+    return fa.merge_tables(f.select("doc", "table_no", "fact_no", "name", "is_total", "start_date", "end_date", "metric", "amount"))
 
 
 def records(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -324,7 +324,7 @@ docs AS (SELECT *, round(CASE WHEN expected > 0 THEN matched / expected ELSE 0 E
     round(matched / greatest(expected, predicted - forgiven, 1), 6) AS comprehensive_hit,
     CASE WHEN missing = 0 AND extra = 0 AND wrong = 0 THEN CASE WHEN forgiven = 0 THEN 'match' ELSE 'forgiven' END ELSE 'differs' END AS category FROM joined)"""
 _FACTS = f"""(SELECT * FROM (SELECT infocode AS doc, source_code, row_id AS fact_no, coalesce(productname, '') AS name,
-    regexp_matches(coalesce(replace({sc._LABEL.replace("text", "productname")}, '凈', '淨'), ''), '{sc._any(t.SUBTOTALS)}') OR regexp_matches(coalesce(replace({sc._LABEL.replace("text", "productname")}, '凈', '淨'), ''), '{sc._any(t.FINAL_TOTALS)}') AS is_total,
+    CASE WHEN regexp_matches(coalesce(replace({sc._LABEL.replace("text", "productname")}, '凈', '淨'), ''), '{sc._any(t.SUBTOTALS)}') THEN 'subtotal' WHEN regexp_matches(coalesce(replace({sc._LABEL.replace("text", "productname")}, '凈', '淨'), ''), '{sc._any(t.FINAL_TOTALS)}') THEN 'final' END AS kind,
     'MBREVENUE' AS metric, {_double("mbrevenue")} AS amount, {_day("startdate")} AS start_date, {_day("reportdate")} AS end_date, currency, unit, mbcost, gross_profit FROM flat_export WHERE trim(infocode) <> '')
   WHERE amount IS NOT NULL AND start_date IS NOT NULL AND end_date IS NOT NULL)"""
 _KEY = r"lower(regexp_replace(name, '\s+', '', 'g'))"
@@ -402,7 +402,7 @@ SELECT strategy, count(*) FILTER (after > now) AS improves, count(*) FILTER (aft
     "f_sums_totals": f"""
 SELECT doc, source_code, start_date, end_date, n_products, cast(round(summed, 2) AS double) AS summed, cast(round(stated, 2) AS double) AS stated, cast(round(coalesce(stated, summed), 2) AS double) AS total,
   abs(summed - stated) <= greatest(0.01 * greatest(abs(summed), abs(stated)), 1) AS agrees
-FROM (SELECT doc, source_code, start_date, end_date, sum(x) FILTER (NOT is_total) AS summed, max(x) FILTER (is_total) AS stated, count(*) FILTER (NOT is_total) AS n_products
+FROM (SELECT doc, source_code, start_date, end_date, sum(x) FILTER (kind IS NULL) AS summed, coalesce(max(x) FILTER (kind = 'final'), max(x) FILTER (kind = 'subtotal')) AS stated, count(*) FILTER (kind IS NULL) AS n_products
   FROM (SELECT *, cast(amount AS decimal(28, 6)) AS x FROM {_FACTS}) GROUP BY 1, 2, 3, 4)""",
     "f_first_facts": f"SELECT doc, {_KEY} AS name_key, start_date, end_date, fact_no, source_code, amount FROM {_FACTS} QUALIFY row_number() OVER (PARTITION BY doc, {_KEY}, start_date, end_date ORDER BY fact_no) = 1",
     "f_records": f"""

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import fold_width
+from ..operators.grids import html_grid
+
 RECORD = T.StructType([T.StructField(f, T.StringType()) for f in ("STARTDATE", "REPORTDATE", "CURRENCY", "PRODUCTNAME", "MBREVENUE", "MBCOST", "GROSS_PROFIT", "UNIT")])
 INVENTORY_SCHEMA = "infocode string, category string, pipeline_stage string, source_pages string, message string, local_rows long, gt_rows long"
 
@@ -51,26 +57,44 @@ def project(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def at_path(df: DataFrame, path: str, name: str = "value") -> DataFrame:
-    """``df`` with the column at a dotted path into structs; arrays of structs come as rows by ``inline``."""
-    return df.withColumn(name, F.col(path))
+    """``df`` with the column at a dotted path into structs and maps.
+
+    An array on the way, or at the end, comes as a row for each of its elements; an empty or null one, as a null,
+    keeps its row with null. A name that a struct doesn't have is refused by the analysis, a missing key of a map null.
+    """
+    first, *rest = path.split(".")
+    out = df.withColumn("_at", F.col(f"`{first}`"))
+    for step in [*rest, None]:
+        while isinstance(out.schema["_at"].dataType, T.ArrayType):
+            out = out.withColumn("_at", F.explode_outer("_at"))
+        if step is not None:
+            out = out.withColumn("_at", F.try_element_at("_at", F.lit(step)) if isinstance(out.schema["_at"].dataType, T.MapType) else F.col("_at").getField(step))
+    return out.withColumn(name, F.col("_at")).drop("_at")
 
 
 def read_keyed_json(spark: SparkSession, path: str, record: T.StructType = RECORD) -> DataFrame:
-    """Rows of a file holding {code: [rows]} or [rows with INFOCODE]; a row's own code wins.
+    """Rows of files holding {code: [rows]} or [rows with INFOCODE], one such text a file; a row's own code wins.
 
-    Keys are trimmed; a file of another shape gives no rows, a blank key is kept as null.
+    Keys are trimmed, a blank key is kept as null. Reading a file of another shape fails the query.
     """
+    return _keyed_rows(spark.read.text(path, wholetext=True), record)
+
+
+def _keyed_rows(texts: DataFrame, record: T.StructType) -> DataFrame:
     with_code = T.StructType([*record.fields, T.StructField("INFOCODE", T.StringType())])
-    text = spark.read.text(path, wholetext=True).select(F.trim("value").alias("value"))
-    keyed = text.where(F.col("value").startswith("{")).select(F.explode(F.from_json("value", T.MapType(T.StringType(), T.ArrayType(with_code)))).alias("key", "rows")).select("key", F.explode("rows").alias("r"))
-    listed = text.where(F.col("value").startswith("[")).select(F.lit(None).cast("string").alias("key"), F.explode(F.from_json("value", T.ArrayType(with_code))).alias("r"))
-    both = keyed.unionByName(listed)
+    text = texts.select(F.trim("value").alias("value")).where("value <> ''")
+    # schemas are given, so what doesn't parse is null
+    keyed = F.from_json("value", T.MapType(T.StringType(), T.ArrayType(with_code)))
+    listed = F.map_from_arrays(F.array(F.lit("")), F.array(F.from_json("value", T.ArrayType(with_code))))
+    either = F.when(F.col("value").startswith("{"), keyed).when(F.col("value").startswith("["), listed)
+    read = F.coalesce(either, F.raise_error(F.lit("neither {code: [rows]} nor [rows]")).cast(T.MapType(T.StringType(), T.ArrayType(with_code))))
+    both = text.select(F.explode(read).alias("key", "rows")).select("key", F.explode("rows").alias("r"))
     code = F.coalesce(F.nullif(F.trim("r.INFOCODE"), F.lit("")), F.nullif(F.trim("key"), F.lit("")))
     return both.select(code.alias("INFOCODE"), *[F.col(f"r.{f.name}") for f in record.fields])
 
 
 def write_keyed(df: DataFrame, path: str, key: str = "INFOCODE") -> None:
-    """K1, K9: rows as JSON lines, ordered by key within files, rows without a key left out.
+    """K1: rows as JSON lines, ordered by key within files, rows without a key left out.
 
     A key's rows lie together in one stretch of one file, or several files where a key is huge: no group is
     gathered in memory. Written by Spark's commit protocol, so a reader never sees half a file.
@@ -78,6 +102,32 @@ def write_keyed(df: DataFrame, path: str, key: str = "INFOCODE") -> None:
     df.where(F.trim(F.col(key)) != "").repartitionByRange(key, F.xxhash64(*[c for c in df.columns if c != key])).sortWithinPartitions(key).write.mode("overwrite").json(path)
 
 
+def write_grouped(df: DataFrame, path: str, fields: list[str], key: str = "INFOCODE", most: int = 10_000) -> dict[str, int]:
+    """K9: rows grouped as {code: [rows of ``fields``]}, one such object a line, codes in order within files; gives the counts.
+
+    Codes are trimmed, rows without one are counted as skipped, fields that are missing are null. A code of more
+    than ``most`` rows has several lines, so that no task gathers a whole group; ``read_grouped`` puts them together.
+    """
+    if not fields:
+        raise ValueError("fields are needed")
+    code = F.nullif(F.trim(F.col(key)), F.lit(""))
+    rows = project(df.withColumn("_code", code), ["_code", *fields])
+    sizes = rows.groupBy("_code").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.count("_code").alias("groups"), F.coalesce(F.sum(F.when(F.col("_code").isNotNull(), F.col("n"))), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(F.col("_code").isNull(), F.col("n"))), F.lit(0)).alias("skipped")).first()
+    large = sizes.where((F.col("n") > most) & F.col("_code").isNotNull()).select("_code", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+    part = F.coalesce((F.rand(7) * F.col("parts")).cast("int"), F.lit(0))
+    salted = rows.where("_code is not null").join(large, "_code", "left").withColumn("_part", part)
+    grouped = salted.groupBy("_code", "_part").agg(F.collect_list(F.struct(*[F.col(f"`{f}`") for f in fields])).alias("rows"))
+    line = F.to_json(F.create_map("_code", "rows"), {"ignoreNullFields": "false"})
+    grouped.repartitionByRange("_code").sortWithinPartitions("_code", "_part").select(line.alias("value")).write.mode("overwrite").text(path)
+    return total.asDict()
+
+
+def read_grouped(spark: SparkSession, path: str, record: T.StructType = RECORD) -> DataFrame:
+    """Rows of files that hold a {code: [rows]} object in each line."""
+    return _keyed_rows(spark.read.text(path), record)
+
+
 def export_groups(df: DataFrame, key: str, order: str) -> DataFrame:
     """A1, K9: (key, n_rows, first_id, last_id) of the keys that aren't blank, and one row of key null for the rest."""
     k = F.when(F.trim(F.col(key)) != "", F.trim(F.col(key)))
@@ -123,9 +173,23 @@ def discover_jobs(jobs: DataFrame, files: DataFrame, exclude: list[str]) -> Data
 
 
 def read_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """Paths with their first five bytes as text and their fingerprint (S7: length and time)."""
-    b = spark.read.format("binaryFile").load(pattern)
-    return b.select("path", F.substring(F.decode(F.substring("content", 1, 5), "ISO-8859-1"), 1, 5).alias("head"), "length", "modificationTime")
+    """Paths with their first five bytes as text, and their fingerprint (S7: length and time).
+
+    Contents stay unread: files are listed, and each is opened for its first five bytes alone. ``pattern`` may
+    name a folder, files by a glob, or several of these parted by '##'.
+    """
+    listed = spark.read.format("binaryFile").load(pattern.split("##")).select("path", "length", "modificationTime")
+
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            head = []
+            for path in b["path"]:
+                source, at = fs.FileSystem.from_uri(path if not path.startswith("file:/") else "file:///" + path.removeprefix("file:").lstrip("/"))
+                with source.open_input_file(at) as f:
+                    head.append(f.read(5).decode("ISO-8859-1"))
+            yield b.assign(head=head)[["path", "head", "length", "modificationTime"]]
+
+    return listed.mapInPandas(heads, "path string, head string, length long, modificationTime timestamp")
 
 
 def fresh_cache(files: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -145,13 +209,16 @@ def read_page_json(spark: SparkSession, pattern: str) -> DataFrame:
     """Blocks of page files named '<code>_<page>.json': content kinds that are text or tables.
 
     Page numbers, asides and images are dropped, footers kept only when they speak of an attached part, empty
-    content too; files marked "over" are skipped. Rows: infocode, page_number, block_no, type, content, x0, html.
+    content too; files with "over" in their name are skipped. Rows: infocode, page_number, block_no, type, content
+    as delivered, text (narrow, without blanks), x0, grid (of a table, else null). Order by page_number and block_no.
     """
-    pages = spark.read.text(pattern, wholetext=True).select(F.input_file_name().alias("path"), "value").where(~F.col("path").contains("over"))
-    named = pages.select(F.regexp_extract("path", r"(AN\d{18})_\d+\.json$", 1).alias("infocode"), F.regexp_extract("path", r"AN\d{18}_(\d+)\.json$", 1).try_cast("int").alias("page_number"), F.posexplode(F.from_json("value", _OCR)).alias("block_no", "b"))
-    t, c = F.col("b.type"), F.coalesce("b.content", F.lit(""))
-    wanted = ~t.isin("page_number", "aside_text", "image") & ((t != "footer") | c.rlike("隨附|随附|附表|附件|attached")) & (F.trim(c) != "")
-    return named.where((F.col("infocode") != "") & wanted).select("infocode", "page_number", "block_no", t.alias("type"), c.alias("content"), F.get("b.bbox", F.lit(0)).alias("x0"), F.when(t == "table", c).alias("html"))
+    pages = spark.read.text(pattern, wholetext=True).select(F.input_file_name().alias("path"), "value")
+    name = F.element_at(F.split("path", "/"), -1)
+    named = pages.where(~name.contains("over")).select(F.regexp_extract(name, r"(AN\d{18})_\d+\.json$", 1).alias("infocode"), F.regexp_extract(name, r"AN\d{18}_(\d+)\.json$", 1).try_cast("int").alias("page_number"), F.posexplode(F.from_json("value", _OCR)).alias("block_no", "b"))
+    t, c = F.coalesce("b.type", F.lit("")), F.coalesce("b.content", F.lit(""))
+    wanted = ~t.isin("page_number", "aside_text", "image") & ((t != "footer") | c.rlike("后附.*部分")) & (c != "")
+    text = F.replace(fold_width(c), F.lit(" "), F.lit(""))
+    return named.where((F.col("infocode") != "") & wanted).select("infocode", "page_number", "block_no", t.alias("type"), c.alias("content"), text.alias("text"), F.get("b.bbox", F.lit(0)).alias("x0"), F.when(t == "table", html_grid(fold_width(c))).alias("grid"))
 
 
 def html_report(totals: dict, fields: list[dict], path: str) -> None:

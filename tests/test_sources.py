@@ -9,9 +9,47 @@ from factloom.streaming.ingest import each_batch, file_stream, sessions
 def test_keyed_json_both_shapes(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"AN1": [{"PRODUCTNAME": "甲", "MBREVENUE": "1"}, {"PRODUCTNAME": "乙", "INFOCODE": "AN9"}], " ": [{"PRODUCTNAME": "丙"}]}, ensure_ascii=False))
     (tmp_path / "b.json").write_text(json.dumps([{"INFOCODE": "AN2", "PRODUCTNAME": "丁"}], ensure_ascii=False))
-    (tmp_path / "c.json").write_text("17")
+    (tmp_path / "c.json").write_text(" ")
     got = sorted((r.INFOCODE or "", r.PRODUCTNAME) for r in ex.read_keyed_json(spark, str(tmp_path)).collect())
     assert got == [("", "丙"), ("AN1", "甲"), ("AN2", "丁"), ("AN9", "乙")]
+    for bad in ("17", '{"AN1": 3', "rows"):
+        (tmp_path / "c.json").write_text(bad)
+        with pytest.raises(Exception, match="neither"):
+            ex.read_keyed_json(spark, str(tmp_path)).collect()
+
+
+def test_grouped_json(spark, tmp_path):
+    rows = [("AN1", str(i), "x") for i in range(25)] + [(" AN2 ", None, "y"), (None, "1", "z"), (" ", "2", "z")]
+    df = spark.createDataFrame(rows, "INFOCODE string, MBREVENUE string, other string")
+    assert ex.write_grouped(df, str(tmp_path / "g"), ["PRODUCTNAME", "MBREVENUE"], most=10) == {"groups": 2, "rows": 26, "skipped": 2}
+    back = ex.read_grouped(spark, str(tmp_path / "g")).collect()
+    assert sorted((r.INFOCODE, r.MBREVENUE or "") for r in back) == sorted([("AN1", str(i)) for i in range(25)] + [("AN2", "")])
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "g")).collect()]
+    assert {k for x in lines for k in x} == {"AN1", "AN2"} and max(len(v) for x in lines for v in x.values()) < 25
+    with pytest.raises(ValueError, match="fields"):
+        ex.write_grouped(df, str(tmp_path / "h"), [])
+    assert ex.write_grouped(df.limit(0), str(tmp_path / "i"), ["MBREVENUE"]) == {"groups": 0, "rows": 0, "skipped": 0}
+
+
+def test_paths_into_records(spark):
+    df = spark.range(1).selectExpr("id", "named_struct('records', array(named_struct('v', 1), named_struct('v', 2)), 'm', map('k', array(3, 4)), 'none', cast(null as array<struct<v:int>>)) AS data")
+    get = lambda path: sorted((r.value for r in ex.at_path(df, path).collect()), key=str)
+    assert (get("data.records.v"), get("data.m.k"), get("data.none.v"), get("data.m.x")) == ([1, 2], [3, 4], [None], [None])
+    assert ex.at_path(df, "data.records").columns == ["id", "data", "value"]
+
+
+def test_no_machine_local_checkpoints_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from factloom.sources.tables import shared_dir
+
+    made = []
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append, getConf=lambda: SimpleNamespace(get=lambda *a: None))
+    session = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+    session.conf = SimpleNamespace(get=lambda *a: "hdfs:///shared")
+    assert shared_dir(session) == "hdfs:///shared"
 
 
 def test_round_trips(spark, tmp_path):
@@ -41,11 +79,13 @@ def test_jobs(spark, tmp_path):
 
 
 def test_page_json(spark, tmp_path):
-    blocks = [{"type": "text", "content": "甲", "bbox": [1.5, 2]}, {"type": "page_number", "content": "3"}, {"type": "footer", "content": "x"}, {"type": "footer", "content": "隨附部分"}, {"type": "table", "content": "<table></table>"}, {"type": "text", "content": " "}]
-    (tmp_path / "AN202301010000000001_12.json").write_text(json.dumps(blocks, ensure_ascii=False))
-    (tmp_path / "AN202301010000000001_over.json").write_text("[]")
-    got = [(r.page_number, r.block_no, r.type, r.x0) for r in ex.read_page_json(spark, str(tmp_path)).orderBy("block_no").collect()]
-    assert got == [(12, 0, "text", 1.5), (12, 3, "footer", None), (12, 4, "table", None)]
+    blocks = [{"type": "text", "content": "甲", "bbox": [1.5, 2]}, {"type": "page_number", "content": "3"}, {"type": "footer", "content": "x"}, {"type": "footer", "content": "后附第一部分"}, {"type": "table", "content": "<table><tr><td colspan=2>Ａ</td></tr></table>"}, {"type": "text", "content": ""}, {"type": "footer", "content": "隨附部分"}, {"type": "text", "content": "１ 丙"}]
+    folder = tmp_path / "handover"
+    folder.mkdir()
+    (folder / "AN202301010000000001_12.json").write_text(json.dumps(blocks, ensure_ascii=False))
+    (folder / "AN202301010000000001_over_1.json").write_text("[]")
+    got = [(r.page_number, r.block_no, r.type, r.x0, r.text, r.grid) for r in ex.read_page_json(spark, str(folder)).orderBy("block_no").collect()]
+    assert got == [(12, 0, "text", 1.5, "甲", None), (12, 3, "footer", None, "后附第一部分", None), (12, 4, "table", None, "<table><tr><tdcolspan=2>A</td></tr></table>", [["A", "A"]]), (12, 7, "text", None, "1丙", None)]
 
 
 def test_accept_and_latest(spark):
