@@ -13,7 +13,10 @@ import argparse
 from importlib import import_module
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from .functions.text import percent_text
+from .operators import quality
 from .plans import evaluation, registry
 from .sources.exports import html_report
 
@@ -40,9 +43,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = SparkSession.builder.appName("factloom").getOrCreate()
     if a.command == "report":
-        total = evaluation.compare_corpus(spark, a.data).first().asDict()
-        fields = [r.asDict() for r in evaluation.compare_fields(spark, a.data).orderBy("field").collect()]
-        html_report(total, fields, a.file)
+        docs = evaluation.backtest_docs(spark, a.data).checkpoint()
+        rows = lambda df: [r.asDict() for r in df.collect()]
+        total = quality.corpus_quality(docs).first().asDict()
+        causes = [r | {"meaning": quality.CAUSES.get(r["cause"], r["cause"])} for r in rows(quality.causes(docs).orderBy("kind", F.desc("documents"), "cause"))]
+        worst = docs.where("category = 'differs'").orderBy(F.desc(F.col("missing") + F.col("extra") + F.col("wrong")), "doc").limit(50)
+        shown = worst.select("doc", "stage", "problem", "expected", "predicted", "matched", "wrong", "missing", "extra", "forgiven", percent_text(F.col("recall")).alias("recall"))
+        fields = rows(quality.field_quality(docs, list(evaluation.FIELDS)).orderBy("field"))
+        html_report(total, fields, a.file, {"Causes and stages": causes, "Documents with most problems": rows(shown)})
         return 0
     if a.name not in queries:
         p.error(f"no query {a.name}; see 'list'")

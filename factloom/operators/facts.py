@@ -51,16 +51,16 @@ def merge_tables(facts: DataFrame) -> DataFrame:
     totals = f.where("is_total").groupBy("doc", "table_no", *PERIOD).agg(F.min_by(amount, "fact_no").alias("first"), F.max_by(amount, "fact_no").alias("last"))
     totals = totals.groupBy("doc", "table_no").agg(F.collect_list(F.struct(F.struct(*PERIOD).alias("of"), "first", "last")).alias("totals"))
     tables = f.groupBy("doc", "table_no").agg(F.max(~F.col("is_total")).alias("named")).join(shared, ["doc", "table_no"], "left").join(totals, ["doc", "table_no"], "left")
-    one = F.struct("table_no", "named", F.coalesce("shares", F.array().cast("array<bigint>")).alias("shares"), F.coalesce("totals", F.filter(F.array(F.struct(F.struct(F.lit(None).cast("date").alias("start_date"), F.lit(None).cast("date").alias("end_date")).alias("of"), F.lit(0.0).alias("first"), F.lit(0.0).alias("last"))), lambda x: F.lit(False))).alias("totals"))
+    one = F.struct("table_no", "named", F.coalesce("shares", F.array().cast("array<bigint>")).alias("shares"), "totals")
     docs = tables.withColumn("table_no", F.col("table_no").cast("bigint")).groupBy("doc").agg(F.array_sort(F.collect_list(one)).alias("tables"))
 
     def step(kept, t):
         both = F.exists(kept, lambda k: k["named"]) & t["named"]
         apart = F.size(F.array_intersect(t["shares"], F.transform(kept, lambda k: k["table_no"]))) == 0
-        before = F.flatten(F.transform(kept, lambda k: k["totals"]))  # in order of tables: the first of a period counts
+        before = F.flatten(F.filter(F.transform(kept, lambda k: k["totals"]), lambda x: x.isNotNull()))  # in order of tables: the first of a period counts
         base = lambda x: F.get(F.filter(before, lambda b: b["of"] == x["of"]), F.lit(0))["first"]
         other = F.exists(t["totals"], lambda x: F.coalesce(F.abs(base(x) - x["last"]) > 0.01 * F.abs(base(x)), F.lit(False)))
-        return F.when(both & (apart | other), kept).otherwise(F.concat(kept, F.array(t)))
+        return F.when(both & (apart | F.coalesce(other, F.lit(False))), kept).otherwise(F.concat(kept, F.array(t)))
 
     empty = F.filter("tables", lambda t: F.lit(False))
     kept = docs.select("doc", F.explode(F.transform(F.aggregate("tables", empty, step), lambda k: k["table_no"])).alias("table_no"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import numeric_text
 from ..functions.text import FINAL_TOTALS, SUBTOTALS, YEAR, clean_header, clean_name, strip
+from ..sources.tables import shared_dir
 from .linkage import containing
 
 # Words that tell what a cell or a row is about.
@@ -91,11 +92,12 @@ def with_names(grids: DataFrame, names: DataFrame) -> DataFrame:
     or are contained in one). Names and cells meet by grams within their document; what a grid is given is bounded by
     its cells, not by the names of its document.
     """
+    shared_dir(grids.sparkSession)
     key = ["infocode"]
     cells = grids.select("infocode", "table_id", F.explode(F.array_distinct(F.flatten("grid"))).alias("cell")).where("cell is not null")
     forms = F.array_union(F.array(F.concat(F.lit("b"), bare_text(F.col("cell")))), F.transform(label_keys(F.col("cell")), lambda x: F.concat(F.lit("l"), x)))
     # one text with its kind before it, so that cells and labels are told apart and met together
-    every = cells.select("infocode", "table_id", F.explode(forms).alias("form")).where(F.length("form") > 1).distinct()
+    every = cells.select("infocode", "table_id", F.explode(forms).alias("form")).where(F.length("form") > 1).distinct().checkpoint()  # used three times
     texts = every.select("infocode", "form").distinct().select("infocode", F.substring("form", 1, 1).alias("kind"), F.substring("form", 2, 1 << 30).alias("text"))
     whole = F.replace(strip("name"), F.lit("之"), F.lit(""))
     part = F.element_at(F.split(F.element_at(F.split(whole, "-"), -1), ":"), 1)

@@ -36,50 +36,99 @@ def forgiven_extras(exp: DataFrame, pred: DataFrame, pairs: DataFrame) -> DataFr
     return extra.join(known.select("doc", "product"), ["doc", "product"], "left_semi").join(told, ["doc", "product", "start_date", "end_date"], "left_anti").select("id", "doc")
 
 
-def compare_documents(exp: DataFrame, pred: DataFrame, pairs: DataFrame, fields: list[str], tolerance: float = 1e-4, containment: bool = False) -> DataFrame:
-    """Counts, field agreement and rates of each document on either side.
+# Root causes and stages of a run, and what they mean.
+CAUSES = {
+    "locate_fail": "no section or table found", "parse_fail": "found but not read", "select_fail": "read but nothing chosen", "format_fail": "chosen but all rows left out", "empty_output": "no rows", "exception": "failed", "unknown": "unknown",
+    "missing": "some expected rows absent", "value_wrong": "product found, values differ", "extra": "not expected", "forgiven_amounts": "one table, all expected amounts among its rows", "forgiven_history": "the chosen section names all earlier products",
+}
+
+
+def compare_documents(exp: DataFrame, pred: DataFrame, pairs: DataFrame, fields: list[str], tolerance: float = 1e-4, containment: bool = False, runs: DataFrame | None = None) -> DataFrame:
+    """Counts, field agreement, rates, category and causes of each document on either side.
 
     A field differs when the expected value isn't null (F20) and its signature isn't the predicted one's. A
     pair without a difference is matched, else wrong; expected rows without a pair are missing, predicted ones
     extra. An extra row is forgiven (J15) when its product is among the expected ones of its document but not
     in its period: a period the expectation left out. Products are the same when their names are equal, with
     ``containment`` as in ``forgiven_extras``.
+
+    ``runs`` (doc, stage, tables, all_names, totals_agree, covered) says how the predicted rows came about. With it a
+    document with problems is forgiven as a whole when a single table was read and all expected amounts are among the
+    predicted (its extra rows then count as forgiven), or when the chosen section names all earlier products, rows were
+    predicted and totals agree; and missing rows of a document without predicted ones have its stage for their cause.
+
+    Each side is read once: expected rows with their partners and extra rows are added up in one aggregate.
     """
-    e = exp.select(F.col("id").alias("exp_id"), F.col("doc").alias("e_doc"), *[F.col(f).alias(f"e_{f}") for f in fields])
+    e = exp.select(F.col("id").alias("exp_id"), "doc", *[F.col(f).alias(f"e_{f}") for f in fields])
     p = pred.select(F.col("id").alias("pred_id"), *[F.col(f).alias(f"p_{f}") for f in fields])
-    both = pairs.join(e, "exp_id").join(p, "pred_id")
-    wrong = {f: F.col(f"e_{f}").isNotNull() & (signature(F.col(f"e_{f}"), tolerance) != signature(F.col(f"p_{f}"), tolerance)) for f in fields}
-    both = both.select(F.col("e_doc").alias("doc"), *[w.cast("int").alias(f"bad_{f}") for f, w in wrong.items()])
+    both = e.join(pairs.select("exp_id", "pred_id"), "exp_id", "left").join(p, "pred_id", "left")
+    found = F.col("pred_id").isNotNull()
+    wrong = {f: found & F.col(f"e_{f}").isNotNull() & (signature(F.col(f"e_{f}"), tolerance) != signature(F.col(f"p_{f}"), tolerance)) for f in fields}
+    both = both.select("doc", found.alias("found"), *[w.cast("int").alias(f"bad_{f}") for f, w in wrong.items()])
     n_bad = sum((F.col(f"bad_{f}") for f in fields), F.lit(0))
-    paired = both.groupBy("doc").agg(F.count_if(n_bad == 0).alias("matched"), F.count_if(n_bad > 0).alias("wrong"), *[F.sum(f"bad_{f}").alias(f"bad_{f}") for f in fields])
-    missing = exp.join(pairs, exp["id"] == pairs["exp_id"], "left_anti").groupBy("doc").agg(F.count("*").alias("missing"))
+    one = lambda c: c.cast("int")
+    rows = both.select(
+        "doc", F.lit(1).alias("expected"), one(F.col("found")).alias("predicted"), one(F.col("found") & (n_bad == 0)).alias("matched"), one(F.col("found") & (n_bad > 0)).alias("wrong"), *[f"bad_{f}" for f in fields],
+        one(~F.col("found")).alias("missing"), F.lit(0).alias("extra"), F.lit(0).alias("forgiven"),
+    )
     extra = pred.join(pairs, pred["id"] == pairs["pred_id"], "left_anti")
     if containment:
-        forgiven = forgiven_extras(exp, pred, pairs)
+        extra = extra.select("id", "doc").join(forgiven_extras(exp, pred, pairs).select("id").withColumn("told", F.lit(1)), "id", "left")
     else:
-        products = exp.select("doc", "name").distinct()
-        periods = exp.select("doc", "name", "start_date", "end_date").distinct()
-        forgiven = extra.where(F.length("name") > 0).join(products, ["doc", "name"], "left_semi").join(periods, ["doc", "name", "start_date", "end_date"], "left_anti")
-    forgiven = forgiven.groupBy("doc").agg(F.count("*").alias("forgiven"))
-    n_exp, n_pred = exp.groupBy("doc").agg(F.count("*").alias("expected")), pred.groupBy("doc").agg(F.count("*").alias("predicted"))
-    docs = n_exp.join(n_pred, "doc", "full_outer").join(paired, "doc", "left").join(missing, "doc", "left").join(extra.groupBy("doc").agg(F.count("*").alias("extra")), "doc", "left").join(forgiven, "doc", "left")
-    docs = docs.fillna(0)
-    docs = docs.withColumn("extra", F.col("extra") - F.col("forgiven"))
-    scored = F.greatest(F.col("predicted") - F.col("forgiven"), F.lit(0))
-    return docs.select(
+        periods = exp.groupBy("doc", "name").agg(F.collect_set(F.struct("start_date", "end_date")).alias("periods"))
+        of = F.struct("start_date", "end_date")
+        told = (F.length("name") > 0) & F.col("periods").isNotNull() & ~F.coalesce(F.array_contains("periods", of), F.lit(False))
+        extra = extra.select("doc", "name", "start_date", "end_date").join(periods, ["doc", "name"], "left").withColumn("told", one(told))
+    told = F.coalesce("told", F.lit(0))
+    extra = extra.select("doc", F.lit(0).alias("expected"), F.lit(1).alias("predicted"), F.lit(0).alias("matched"), F.lit(0).alias("wrong"), *[F.lit(0).alias(f"bad_{f}") for f in fields], F.lit(0).alias("missing"), (1 - told).alias("extra"), told.alias("forgiven"))
+    counts = ("expected", "predicted", "matched", "wrong", *[f"bad_{f}" for f in fields], "missing", "extra", "forgiven")
+    docs = rows.unionByName(extra).groupBy("doc").agg(*[F.sum(c).alias(c) for c in counts])
+    return _rated(docs if runs is None else _forgiven(docs, runs, fields), runs is not None)
+
+
+def _forgiven(docs: DataFrame, runs: DataFrame, fields: list[str]) -> DataFrame:
+    """Documents forgiven as a whole have no problems left; ``whole`` says why, ``stage`` how they were read."""
+    d = docs.join(runs.select("doc", "stage", "tables", "all_names", "totals_agree", "covered"), "doc", "left")
+    problem = (F.col("missing") > 0) | (F.col("extra") > 0) | (F.col("wrong") > 0)
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    amounts = problem & yes(F.col("tables") == 1) & yes(F.col("covered"))
+    history = problem & yes(F.col("all_names")) & (F.col("predicted") > 0) & yes(F.col("totals_agree"))
+    d = d.withColumn("whole", F.when(amounts, "forgiven_amounts").when(history, "forgiven_history"))
+    d = d.withColumn("forgiven", F.col("forgiven") + F.when(F.col("whole") == "forgiven_amounts", F.col("extra")).otherwise(0))
+    reset = {c: F.when(F.col("whole").isNotNull(), 0).otherwise(F.col(c)) for c in ("missing", "extra", "wrong", *[f"bad_{f}" for f in fields])}
+    d = d.withColumn("matched", F.when(F.col("whole").isNotNull(), F.col("expected")).otherwise(F.col("matched"))).withColumns(reset)
+    return d.select(*docs.columns, F.coalesce("stage", F.lit("unknown")).alias("stage"), "whole")
+
+
+def _rated(docs: DataFrame, told: bool) -> DataFrame:
+    """Rates and category of documents, and with ``told`` their cause and the kind of their problem."""
+    whole = F.col("whole").isNotNull() if told else F.lit(False)
+    scored = F.when(whole, F.col("expected")).otherwise(F.greatest(F.col("predicted") - F.col("forgiven"), F.lit(0)))
+    clean = (F.col("missing") == 0) & (F.col("extra") == 0) & (F.col("wrong") == 0)
+    out = docs.select(
         "*",
         F.round(_ratio(F.col("matched"), F.col("expected")), 6).alias("recall"),
         F.round(_ratio(F.col("matched"), scored), 6).alias("precision"),
         F.round(_ratio(F.col("matched"), F.col("matched") + F.col("wrong")), 6).alias("field_accuracy"),
         F.round(F.col("matched") / F.greatest(F.col("expected"), scored, F.lit(1)), 6).alias("comprehensive_hit"),
-        F.when((F.col("missing") == 0) & (F.col("extra") == 0) & (F.col("wrong") == 0), F.when(F.col("forgiven") == 0, "match").otherwise("forgiven")).otherwise("differs").alias("category"),
+        F.when(clean, F.when((F.col("forgiven") == 0) & ~whole, "match").otherwise("forgiven")).otherwise("differs").alias("category"),
     )
+    if not told:
+        return out
+    empty = (F.col("predicted") == 0) | (F.col("stage") == "empty_output")
+    only = lambda c: (F.col("missing") + F.col("extra") + F.col("wrong") == F.col(c)) & (F.col(c) > 0)
+    problem = F.when(clean, F.lit(None)).when(empty, "empty").when(only("missing"), "missing").when(only("extra"), "extra").when(only("wrong"), "wrong").otherwise("mixed")
+    lost = F.when(F.col("predicted") > 0, "missing").when(F.col("stage") == "success", "empty_output").otherwise(F.col("stage"))
+    return out.withColumn("problem", problem).withColumn("missing_cause", F.when(F.col("missing") > 0, lost))
 
 
 def corpus_quality(docs: DataFrame) -> DataFrame:
-    """One row over all documents: sums, categories and micro-averaged rates."""
+    """One row over all documents: sums, categories and micro-averaged rates; with runs also kinds of problems."""
     counts = ("expected", "predicted", "matched", "wrong", "missing", "extra", "forgiven")
-    total = docs.agg(F.count("*").alias("documents"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], *[F.count_if(F.col("category") == k).alias(f"docs_{k}") for k in ("match", "forgiven", "differs")])
+    more = []
+    if "problem" in docs.columns:
+        more = [F.count_if(F.col("problem") == k).alias(f"docs_{k}") for k in ("empty", "missing", "extra", "wrong", "mixed")] + [F.count_if(F.col("whole") == k).alias(f"docs_{k}") for k in ("forgiven_amounts", "forgiven_history")]
+    total = docs.agg(F.count("*").alias("documents"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts], *[F.count_if(F.col("category") == k).alias(f"docs_{k}") for k in ("match", "forgiven", "differs")], *more)
     scored = F.greatest(F.col("predicted") - F.col("forgiven"), F.lit(0))
     return total.select(
         "*",
@@ -91,6 +140,15 @@ def corpus_quality(docs: DataFrame) -> DataFrame:
     )
 
 
+def causes(docs: DataFrame) -> DataFrame:
+    """(kind, cause, documents, rows): root causes of problems by rows, and stages of runs by documents."""
+    c = docs.select(F.explode(F.array(
+        F.struct(F.lit("cause").alias("kind"), F.col("missing_cause").alias("cause"), F.col("missing").alias("rows")), F.struct(F.lit("cause").alias("kind"), F.lit("value_wrong").alias("cause"), F.col("wrong").alias("rows")),
+        F.struct(F.lit("cause").alias("kind"), F.lit("extra").alias("cause"), F.col("extra").alias("rows")), F.struct(F.lit("forgiven").alias("kind"), F.col("whole").alias("cause"), F.col("expected").alias("rows")),
+        F.struct(F.lit("stage").alias("kind"), F.col("stage").alias("cause"), F.col("predicted").alias("rows")))).alias("x")).select("x.*")
+    return c.where(F.col("cause").isNotNull() & ((F.col("kind") != "cause") | (F.col("rows") > 0))).groupBy("kind", "cause").agg(F.count("*").alias("documents"), F.sum("rows").alias("rows"))
+
+
 def field_quality(docs: DataFrame, fields: list[str]) -> DataFrame:
     """(field, ok, bad, accuracy) over all documents, one row a field."""
     pairs = F.col("matched") + F.col("wrong")

@@ -202,7 +202,7 @@ def extract(lines: DataFrame, prior: DataFrame) -> Extraction:
     shared_dir(lines.sparkSession)
     names = prior_names(prior)
     sectioned = sectioned_lines(lines.where("infocode is not null")).checkpoint()
-    words = section_words(sectioned)
+    words = section_words(sectioned).checkpoint()
     marks = related(sectioned, words).checkpoint()
     main = chosen(marks, words, names).checkpoint()
     grids = section_grids(words, marks).checkpoint()

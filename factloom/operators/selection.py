@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_width
+from ..sources.tables import shared_dir
 from .linkage import containing
 
 # Words in titles that rule a section out, words of which a title needs one, and words of its text.
@@ -93,7 +94,10 @@ def name_hits(words: DataFrame, names: DataFrame) -> DataFrame:
     the section; the greatest count holds. ``words``: infocode, section_id, text; ``names``: infocode, name, distinct.
     Names meet words through grams and letters of their document, so no names are gathered.
     """
-    w = words.select("infocode", "section_id", "text").distinct()
+    shared_dir(words.sparkSession)
+    # Words and names are used several times: kept in the shared folder, what they come from is worked out once.
+    w = words.select("infocode", "section_id", "text").distinct().checkpoint()
+    names = names.checkpoint()
     loose = F.replace(F.regexp_replace("text", r"[ \n]", ""), F.lit("之"), F.lit(""))
     bare = w.select("infocode", "section_id", loose.alias("outer"))
     trimmed = F.regexp_replace("name", _BLANK, "")

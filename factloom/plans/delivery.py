@@ -14,6 +14,8 @@ from ..sources import exports as ex
 from ..sources.tables import shared_dir, table
 from ..streaming.ingest import sessions
 from . import documents as doc
+from . import layout as lap
+from . import scalars as sc
 
 
 def export_groups(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -193,6 +195,31 @@ _SECTION_TEXTS = f"""(SELECT infocode, section_id, arg_min([coalesce(text, '')],
 _m = lambda c, words: f"regexp_matches({c}, '{'|'.join(words)}')"
 _RELATED = f"""(SELECT * FROM {_SECTION_TEXTS} WHERE NOT {_m("title", se.NEVER)} AND NOT ({_m("title", se.BALANCE)} AND NOT contains(title, '分部') AND NOT contains(text, '分部'))
   AND NOT ({_m("title", se.REVIEW)} AND NOT {_m("text", se.REVIEWED)}) AND {_m("title", se.NEEDED)} AND NOT {_m("title", se.REGIONS)})"""
+_BLANK = r"'^\s+|\s+$', '', 'g'"
+_NARROW = sc._fill(sc._FOLD, "name")
+_PART = lambda c: f"string_split(string_split({c}, '-')[-1], ':')[1]"
+_PRIOR = f"""(SELECT *, replace(regexp_replace(name, {_BLANK}), '之', '') AS whole, {_PART(f"replace(regexp_replace(name, {_BLANK}), '之', '')")} AS part, string_split_regex({_PART(f"regexp_replace(name, {_BLANK})")}, '[╱/]')[1] AS exact,
+    string_split(replace({sc._fill(sc._FOLD, f"regexp_replace(name, {_BLANK})")}, ' ', ''), '') AS letters FROM (
+  SELECT DISTINCT infocode, CASE WHEN regexp_matches({_NARROW}, '[╱/]') THEN regexp_replace(string_split_regex({_NARROW}, '[╱/]')[1], {_BLANK}) ELSE {_NARROW} END AS name FROM (
+    SELECT infocode, regexp_replace(productname, {_BLANK}) AS name FROM flat_export WHERE infocode IS NOT NULL AND productname IS NOT NULL)
+  WHERE name NOT IN ('', '合计', '合計') AND NOT regexp_matches(name, '合計|合计|總計|总计|總額|总额|total|公司')))"""
+_HITS = f"""
+w AS (SELECT s.infocode, s.section_id, w.text, replace(replace(replace(w.text, ' ', ''), chr(10), ''), '之', '') AS bare FROM {lap._WORDS} w JOIN {doc._SECTIONED} s ON w.line_id = s.line_id),
+x AS (SELECT infocode, section_id, count(*) FILTER (length(regexp_replace(text, '[\\(（]\\d[\\)）]', '', 'g')) >= 3 AND {lap._NUMERIC.replace("{0}", "regexp_replace(text, '[\\(（]\\d[\\)）]', '', 'g')")} AND NOT regexp_matches(text, '[一-鿿]')) AS n_numbers FROM w GROUP BY 1, 2),
+m AS (SELECT r.* FROM {_RELATED} r LEFT JOIN x ON r.infocode = x.infocode AND r.section_id = x.section_id WHERE coalesce(n_numbers, 0) > 3 OR regexp_matches(text, '千港元|万港元')),
+l AS (SELECT infocode, section_id, list(DISTINCT w.text) AS words, list(DISTINCT bare) AS bares, list_distinct(flatten(list(string_split(w.text, '')))) AS letters FROM w JOIN m USING (infocode, section_id) GROUP BY 1, 2),
+p AS {_PRIOR},
+h AS (SELECT l.infocode, l.section_id,
+    count(*) FILTER (part <> '' AND len(list_filter(bares, lambda b: contains(b, part))) > 0 OR length(whole) > 10 AND contains(whole, '-') AND list_has_all(l.letters, string_split(whole, ''))) AS a,
+    count(*) FILTER (exact <> '' AND list_contains(words, exact)) AS b, count(*) FILTER (p.letters[1] <> '' AND list_has_all(l.letters, p.letters)) AS c
+  FROM l JOIN p ON l.infocode = p.infocode GROUP BY 1, 2),
+hits AS (SELECT m.infocode, m.section_id, title, text, cast(coalesce(n_names, 0) AS int) AS n_names, cast(coalesce(greatest(a, b, c), 0) AS int) AS hits, cast(coalesce(b, 0) AS int) AS exact_hits
+  FROM m LEFT JOIN h ON m.infocode = h.infocode AND m.section_id = h.section_id LEFT JOIN (SELECT infocode, count(*) AS n_names FROM p GROUP BY 1) k ON m.infocode = k.infocode)"""
+_TIER = "CASE " + " ".join(f"WHEN regexp_matches(title, '{x.replace(chr(92) + '（', '（')}') THEN {k}" for k, x in enumerate(se.TIERS)) + f" ELSE {len(se.TIERS)} END"
+_SAID = """(regexp_replace(x, '^\\s+|\\s+$', '', 'g') <> '' AND (x IN ('-', '——') OR regexp_replace(CASE WHEN NOT contains(x, '-') AND contains(x, '(') AND contains(x, ')') THEN '-' || x ELSE x END, '[^\\d.-]', '', 'g') = ''))"""
+_CELLS = """(SELECT infocode, cast(row_id AS varchar) AS table_id, row_no, col_no, regexp_replace(x, '^\\s+|\\s+$', '', 'g') AS x FROM (
+  SELECT infocode, row_id, unnest([0, 0, 1, 1, 2, 2]) AS row_no, unnest([0, 1, 0, 1, 0, 1]) AS col_no, unnest([w, '2024', n, r, c, k]) AS x FROM f WHERE row_id % 2 = 0
+  UNION ALL SELECT infocode, row_id, unnest([0, 0, 0, 1, 1, 1]), unnest([0, 1, 2, 0, 1, 2]), unnest([w, n, c, '隨時間', r, k]) FROM f WHERE row_id % 2 = 1))"""
 _SESSION = """(SELECT *, sum(CASE WHEN ts - prev > INTERVAL 30 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g
   FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events))"""
 
@@ -215,6 +242,28 @@ SELECT row_id, row_no, col_no, regexp_replace(regexp_replace(text, '<[^>]+>', ''
   SELECT row_id, 0 AS row_no, unnest([0, 1, 2]) AS col_no, unnest([coalesce(currency, ''), coalesce(currency, ''), coalesce(unit, '')]) AS text FROM flat_export
   UNION ALL SELECT row_id, 1, unnest([0, 1, 2]), unnest([regexp_replace(coalesce(productname, ''), '[<>]', '', 'g'), coalesce(mbrevenue, ''), coalesce(mbcost, '')]) FROM flat_export)""",
     "t_related_sections": f"SELECT infocode, section_id, title FROM {_RELATED}",
+    "t_section_hits": f"WITH {_HITS} SELECT infocode, section_id, title, n_names, hits, exact_hits FROM hits",
+    "t_best_sections": f"""
+WITH {_HITS}, s AS (SELECT *, n_names > 0 AND hits >= n_names AS whole_list FROM hits), t AS (SELECT *, count(*) FILTER (whole_list) OVER (PARTITION BY infocode) AS n_full, max(hits) OVER (PARTITION BY infocode) AS most FROM s),
+u AS (SELECT *, CASE WHEN n_full > 0 THEN whole_list ELSE hits = most END AS candidate FROM t), v AS (SELECT *, count(*) FILTER (candidate) OVER (PARTITION BY infocode) AS n, {_TIER} AS tier, {_m("title", se.PROFIT_TITLES)} AS pl FROM u),
+y AS (SELECT *, CASE WHEN n_full = 1 AND whole_list THEN 1 WHEN n_full > 1 AND whole_list AND pl AND {_m("text", se.REVENUE_WORDS)} AND {_m("text", se.COST_WORDS)} AND {_m("text", se.GROSS_WORDS)} THEN 2
+  WHEN n_names = 1 AND n > 1 AND pl THEN 3 WHEN candidate AND n > 1 AND tier < {len(se.TIERS)} THEN 4 WHEN candidate THEN 5 END AS rule FROM v)
+SELECT infocode, section_id, title, hits, rule, whole_list OR (n_names > 0 AND exact_hits >= n_names) AS all_names FROM y WHERE rule IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY infocode ORDER BY rule, CASE WHEN rule = 4 THEN tier ELSE 0 END, section_id) = 1""",
+    "t_html_classified": f"""
+WITH f AS (SELECT infocode, row_id, {", ".join(f"regexp_replace(coalesce({c}, ''), '[<>]', '', 'g') AS {a}" for c, a in (("productname", "n"), ("mbrevenue", "r"), ("currency", "c"), ("mbcost", "k")))},
+  ['隨時間', '按產品', '時間點(註)', '附註', ''][row_id % 5 + 1] AS w FROM flat_export WHERE infocode IS NOT NULL),
+c AS (SELECT *, replace(lower(replace(replace(replace(x, ' ', ''), '\\n', ''), chr(10), '')), '之', '') AS bare, {_SAID} AS said, {_m("x", gr.TIMING_WORDS)} AS timing FROM {_CELLS}), p AS {_PRIOR},
+d AS (SELECT DISTINCT infocode, bare FROM c), h AS (SELECT DISTINCT d.infocode, d.bare FROM d JOIN p ON d.infocode = p.infocode WHERE (part <> '' AND contains(bare, part)) OR (length(whole) > 10 AND contains(whole, '-') AND list_has_all(string_split(bare, ''), string_split(whole, '')))),
+m AS (SELECT c.*, h.bare IS NOT NULL AS hit FROM c LEFT JOIN h ON c.infocode = h.infocode AND c.bare = h.bare),
+v AS (SELECT table_id, count(DISTINCT [a.row_no, a.col_no]) FILTER (a.row_no = b.row_no) AS rv, count(DISTINCT [a.row_no, a.col_no]) FILTER (a.col_no = b.col_no) AS cv
+  FROM m a JOIN m b USING (table_id) WHERE a.timing AND b.said AND a.x <> b.x AND (a.row_no = b.row_no OR a.col_no = b.col_no) GROUP BY 1),
+t AS (SELECT table_id, count(*) FILTER (said AND row_no = 0) AS rt, count(*) FILTER (said AND col_no = 0) AS ct, bool_or({_m("x", gr.SPLIT_WORDS)}) AS split FROM m GROUP BY 1),
+k AS (SELECT t.*, coalesce(rv, 0) AS rv, coalesce(cv, 0) AS cv, r, c FROM t LEFT JOIN v USING (table_id) JOIN (SELECT table_id, max(n) AS r FROM (SELECT table_id, row_no, count(*) FILTER (hit) AS n FROM m GROUP BY 1, 2) GROUP BY 1) USING (table_id)
+  JOIN (SELECT table_id, max(n) AS c FROM (SELECT table_id, col_no, count(*) FILTER (hit) AS n FROM m GROUP BY 1, 2) GROUP BY 1) USING (table_id))
+SELECT table_id, CASE WHEN r + c > 0 THEN CASE WHEN r = c AND ct >= 6 AND ct >= 3 * rt THEN 'product_in_columns' WHEN r >= c THEN 'product_in_rows' ELSE 'product_in_columns' END
+  WHEN rv + cv > 0 THEN CASE WHEN rv >= cv THEN 'product_in_rows' ELSE 'product_in_columns' END WHEN split AND (rt >= 2 OR ct >= 2) THEN CASE WHEN rt >= ct THEN 'product_in_rows' ELSE 'product_in_columns' END
+  WHEN rt >= 2 AND rt > ct THEN 'product_in_rows' WHEN ct >= 2 AND ct > rt THEN 'product_in_columns' ELSE 'unsupported' END AS classification FROM k""",
     "o_set_operations": """
 WITH a AS (SELECT infocode FROM no_gt_hit_codes), b AS (SELECT infocode FROM flat_export WHERE infocode IS NOT NULL)
 SELECT 'union' AS operation, (SELECT count(*) FROM (SELECT * FROM a UNION SELECT * FROM b)) AS n UNION ALL SELECT 'intersect', (SELECT count(*) FROM (SELECT * FROM a INTERSECT SELECT * FROM b))

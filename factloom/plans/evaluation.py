@@ -11,6 +11,7 @@ from ..functions import text as t
 from ..operators import facts as fa
 from ..operators import linkage as li
 from ..operators import quality as qu
+from ..operators import records as rc
 from ..sources.tables import shared_dir, table
 from . import scalars as sc
 
@@ -29,14 +30,15 @@ def _rows(spark: SparkSession, data_dir: str, source: str) -> DataFrame:
     )
 
 
-def _sides(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
-    return _rows(spark, data_dir, EXPECTED), _rows(spark, data_dir, PREDICTED)
+def _sides(spark: SparkSession, data_dir: str, expected: str = EXPECTED, predicted: str = PREDICTED) -> tuple[DataFrame, DataFrame]:
+    """The rows of two sources; which, is up to the caller."""
+    return _rows(spark, data_dir, expected), _rows(spark, data_dir, predicted)
 
 
-def _kept_sides(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
+def _kept_sides(spark: SparkSession, data_dir: str, **sides: str) -> tuple[DataFrame, DataFrame]:
     """Both sides, kept for the many steps that use them."""
     shared_dir(spark)
-    exp, pred = _sides(spark, data_dir)
+    exp, pred = _sides(spark, data_dir, **sides)
     return exp.checkpoint(), pred.checkpoint()
 
 
@@ -45,14 +47,14 @@ def signatures(spark: SparkSession, data_dir: str) -> DataFrame:
     return table(spark, data_dir, "flat_export").select("row_id", *[li.signature(F.col(f)).alias(f) for f in FIELDS])
 
 
-def pairs_exact(spark: SparkSession, data_dir: str) -> DataFrame:
+def pairs_exact(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """Rows paired by name, the rest by values."""
-    return li.pair_rows(*_sides(spark, data_dir), containment=False)
+    return li.pair_rows(*_sides(spark, data_dir, **sides), containment=False)
 
 
-def pairs(spark: SparkSession, data_dir: str) -> DataFrame:
+def pairs(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """J10 with J11: also by names that contain each other, greedily."""
-    return li.pair_rows(*_sides(spark, data_dir))
+    return li.pair_rows(*_sides(spark, data_dir, **sides))
 
 
 def _unpaired(exp: DataFrame, pred: DataFrame, made: DataFrame) -> DataFrame:
@@ -60,54 +62,90 @@ def _unpaired(exp: DataFrame, pred: DataFrame, made: DataFrame) -> DataFrame:
     return missing.union(pred.join(made, pred["id"] == made["pred_id"], "left_anti").select(F.lit("extra").alias("kind"), "id"))
 
 
-def unpaired(spark: SparkSession, data_dir: str) -> DataFrame:
+def unpaired(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """J13 after pairs by equal names and values only: expected rows without a predicted one and the other way round."""
-    exp, pred = _sides(spark, data_dir)
+    exp, pred = _sides(spark, data_dir, **sides)
     return _unpaired(exp, pred, li.pair_rows(exp, pred, containment=False))
 
 
-def compare_docs(spark: SparkSession, data_dir: str) -> DataFrame:
+def compare_docs(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """A11, J15 on equal names only: quality of each document."""
-    exp, pred = _sides(spark, data_dir)
+    exp, pred = _sides(spark, data_dir, **sides)
     return qu.compare_documents(exp, pred, li.pair_rows(exp, pred, containment=False), list(FIELDS))
 
 
-def compare_corpus(spark: SparkSession, data_dir: str) -> DataFrame:
+def compare_corpus(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """A12 on equal names only: quality over all documents."""
-    return qu.corpus_quality(compare_docs(spark, data_dir))
+    return qu.corpus_quality(compare_docs(spark, data_dir, **sides))
 
 
-def compare_fields(spark: SparkSession, data_dir: str) -> DataFrame:
+def compare_fields(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """A12 on equal names only: agreement by field."""
-    return qu.field_quality(compare_docs(spark, data_dir), list(FIELDS))
+    return qu.field_quality(compare_docs(spark, data_dir, **sides), list(FIELDS))
 
 
-def unpaired_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+def unpaired_contained(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """J13 after J10 to J12: expected rows without a predicted one and the other way round."""
-    exp, pred = _kept_sides(spark, data_dir)
+    exp, pred = _kept_sides(spark, data_dir, **sides)
     return _unpaired(exp, pred, li.pair_rows(exp, pred))
 
 
-def compare_docs_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+def compare_docs_contained(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """A11, J15 after J10 to J12: quality of each document, names that contain each other counting as one product."""
-    exp, pred = _kept_sides(spark, data_dir)
+    exp, pred = _kept_sides(spark, data_dir, **sides)
     # several steps use the pairs
     return qu.compare_documents(exp, pred, li.pair_rows(exp, pred).checkpoint(), list(FIELDS), containment=True)
 
 
-def compare_corpus_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+def compare_corpus_contained(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """A12 after J10 to J12: quality over all documents."""
-    return qu.corpus_quality(compare_docs_contained(spark, data_dir))
+    return qu.corpus_quality(compare_docs_contained(spark, data_dir, **sides))
 
 
-def compare_fields_contained(spark: SparkSession, data_dir: str) -> DataFrame:
+def compare_fields_contained(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """A12 after J10 to J12: agreement by field."""
-    return qu.field_quality(compare_docs_contained(spark, data_dir), list(FIELDS))
+    return qu.field_quality(compare_docs_contained(spark, data_dir, **sides), list(FIELDS))
 
 
-def amounts_covered(spark: SparkSession, data_dir: str) -> DataFrame:
+def _backtest(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Records read from the lines of all filings against all rows that any source delivered for them."""
+    lines, flat = table(spark, data_dir, "doc_lines"), table(spark, data_dir, "flat_export").where(F.trim("infocode") != "")
+    shared_dir(spark)
+    done = rc.extract(lines, flat.select("infocode", "productname", "mbcost", "gross_profit"))
+    day = lambda c: F.coalesce(p.business_date(F.col(c)).cast("string"), F.lit(""))
+    low = {f: F.nullif(F.col(f.upper()), F.lit("")).alias(f) for f in FIELDS}
+    read = done.records.select("doc", F.col("PRODUCTNAME").alias("productname"), F.col("STARTDATE").alias("startdate"), F.col("REPORTDATE").alias("reportdate"), *low.values())
+    # the same record from several sources, or twice from one, is expected once
+    one = lambda df: df.select("doc", day("startdate").alias("start_date"), day("reportdate").alias("end_date"), F.coalesce(t.match_key(F.col("productname")), F.lit("")).alias("name"), F.coalesce(t.squeeze(F.col("productname")), F.lit("")).alias("product"), *FIELDS).distinct()
+    anchored = F.coalesce(*[n.to_double(F.col(f)) for f in ("mbrevenue", "mbcost", "gross_profit")]).isNotNull()
+    side = lambda df: one(df).withColumn("id", F.struct("doc", "name", "start_date", "end_date", "product", *FIELDS)).withColumn("anchored", anchored).withColumn("values", F.concat_ws("|", *[li.signature(F.col(f)) for f in FIELDS]))
+    with_lines = lines.where("infocode is not null").select(F.col("infocode").alias("doc")).distinct()
+    exp = side(flat.withColumnRenamed("infocode", "doc").join(with_lines, "doc", "left_semi")).checkpoint()
+    pred = side(read).checkpoint()
+    covered = li.multiset_covered(exp, pred, "doc", ["mbrevenue", "mbcost", "gross_profit"])
+    totals = fa.sums_against_totals(done.facts.withColumn("kind", F.when(F.col("is_total"), "final")), ["doc", "start_date", "end_date"]).groupBy("doc").agg(F.min(F.coalesce("agrees", F.lit(True))).alias("totals_agree"))
+    runs = rc.outcomes(lines, done).join(covered, "doc", "left").join(totals, "doc", "left")
+    return qu.compare_documents(exp, pred, li.pair_rows(exp, pred).checkpoint(), list(FIELDS), containment=True, runs=runs)
+
+
+def backtest_docs(spark: SparkSession, data_dir: str) -> DataFrame:
+    """What the extraction of each filing read against what is expected of it."""
+    return _backtest(spark, data_dir)
+
+
+def backtest_corpus(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Quality of the extraction over all filings, with kinds of problems."""
+    return qu.corpus_quality(_backtest(spark, data_dir))
+
+
+def backtest_causes(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Root causes and stages over all filings."""
+    return qu.causes(_backtest(spark, data_dir))
+
+
+def amounts_covered(spark: SparkSession, data_dir: str, **sides: str) -> DataFrame:
     """Documents whose expected amounts are all among the predicted."""
-    exp, pred = _sides(spark, data_dir)
+    exp, pred = _sides(spark, data_dir, **sides)
     return li.multiset_covered(exp, pred, "doc", ["mbrevenue", "mbcost", "gross_profit"])
 
 
@@ -255,7 +293,7 @@ def first_per_product(spark: SparkSession, data_dir: str) -> DataFrame:
 QUERIES = {
     "c_simple_compare": simple_compare, "c_continuity": continuity, "c_first_per_product": first_per_product,
     "c_signatures": signatures, "c_pairs_exact": pairs_exact, "c_pairs": pairs, "c_unpaired": unpaired, "c_compare_docs": compare_docs, "c_compare_corpus": compare_corpus, "c_compare_fields": compare_fields,
-    "c_unpaired_contained": unpaired_contained, "c_compare_docs_contained": compare_docs_contained, "c_compare_corpus_contained": compare_corpus_contained, "c_compare_fields_contained": compare_fields_contained,
+    "c_backtest_docs": backtest_docs, "c_backtest_corpus": backtest_corpus, "c_backtest_causes": backtest_causes, "c_unpaired_contained": unpaired_contained, "c_compare_docs_contained": compare_docs_contained, "c_compare_corpus_contained": compare_corpus_contained, "c_compare_fields_contained": compare_fields_contained,
     "c_simple_compare_contained": simple_compare_contained, "c_continuity_matched": continuity_matched, "c_strategies_matched": strategies_matched, "c_conflicts_matched": conflicts_matched,
     "c_amounts_covered": amounts_covered, "c_values_located": values_located, "c_dominant_currency": dominant_currency, "c_matching_sizes": matching_sizes, "c_strategies": strategies,
     "f_sums_totals": sums_totals, "f_first_facts": first_facts, "f_merged_tables": merged_tables, "f_records": records, "f_enriched": enriched, "f_prior_context": prior_context,
@@ -334,7 +372,7 @@ _TRIPLE_WHOLE = " AND ".join(f"({_double(f)}) IS NOT NULL" for f in _TRIPLE)
 _WRITTEN = sc._WRITTEN
 _FORMS = "list_distinct(CASE WHEN v < 0 THEN [plain, grouped, '-' || plain, '-' || grouped, '(' || plain || ')', '(' || grouped || ')'] ELSE [plain, grouped] END)"
 
-_STRONG = rf"""regexp_replace(regexp_replace(lower(translate({sc._fill(sc._FOLD, "productname")}, '{t.STRONG_FOLD[0]}', '{t.STRONG_FOLD[1]}')),
+_STRONG = rf"""regexp_replace(regexp_replace(lower(translate({sc._fill(sc._NFKC, "productname")}, '{t.STRONG_FOLD[0]}', '{t.STRONG_FOLD[1]}')),
   '\([^)]*(附註|附注|note|[ivx\d]+)[^)]*\)|（[^）]*(附註|附注|note|[ivx\d]+)[^）]*）', '', 'g'), '[\s:：,，。;；、()（）\[\]【】/\\_\-–—]+', '', 'g')"""
 _SIDE_NAMES = rf"""(SELECT infocode AS doc, {_STRONG} AS name, nullif(trim(currency, ' '), '') AS currency, nullif(trim(unit, ' '), '') AS unit, nullif(regexp_extract(reportdate, '\d{{4}}[-/](\d{{1,2}}[-/]\d{{1,2}})', 1), '') AS month_day
   FROM flat_export WHERE source_code = '{{0}}' AND trim(infocode) <> '' AND {_STRONG} NOT IN ('', '合计', '合計', '总计', '總計', '总额', '總額', 'total'))"""

@@ -35,7 +35,7 @@ def width_folded(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def line_texts(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Cleaned line texts; SQL has no back-reference, so this is tested by hand-made cases."""
+    """Cleaned line texts."""
     return table(spark, data_dir, "doc_lines").select("line_id", t.line_text(F.col("text")).alias("cleaned"))
 
 
@@ -95,9 +95,21 @@ QUERIES = {
 
 _SQUEEZE = r"regexp_replace(regexp_replace({0}, '\s+', ' ', 'g'), '^ | $', '', 'g')"
 _STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
-_FROM, _TO, _ = t.width_tables()
-_PAIRS = [(a, b) for a, b in zip(_FROM, _TO, strict=True) if ord(a) < 0x10000 and ord(b) < 0x10000]
-_FOLD = "translate({0}, '" + "".join(a for a, _ in _PAIRS) + "', '" + "".join(b.replace("'", "''") for _, b in _PAIRS) + "')"
+# Apart from the tables of the code under test: full-width forms by their place, and the wide characters of other blocks
+# that occur in the test tables, with what they stand for.
+_WIDE = ("".join(chr(0xFF01 + k) for k in range(94)) + "\u3000", "".join(chr(0x21 + k) for k in range(94)) + " ")
+_RADICALS = ("\u2f00\u2f06\u2f0a\u2f17\u2f1d\u2f2f\u2f3f\u2f40\u2f47\u2f49\u2f4a\u2f54\u2f63\u2f64\u2f6f\u2fa6\u2fa8\u2fb7\u2fbc", "一二入十口工手支日月木水生用石金門食高")
+_COMPATIBLE = ("\uf90a\uf967\uf969\uf98e\uf9be\uf9d0", "金不數年料類")
+_OTHER = ("①②\u2011\u2007\u2009\u00a0\u202f", "12\u2010    ")
+
+
+def _translate(*tables: tuple[str, str]) -> str:
+    quote = lambda x: x.replace("'", "''")
+    return f"translate({{0}}, '{quote(''.join(a for a, _ in tables))}', '{quote(''.join(b for _, b in tables))}')"
+
+
+_FOLD = _translate(_WIDE, _RADICALS, _COMPATIBLE, ("戶", "户"))
+_NFKC = f"nfc_normalize({_translate(_WIDE, _RADICALS, _COMPATIBLE, _OTHER)})"
 _HAN = "[一-鿿]"
 _PLAIN = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
 _NUMBER = r"'^\(?-?[\d,]+(\.\d+)?\)?$'"
@@ -177,9 +189,15 @@ SELECT origin, id, coalesce(regexp_matches(text, '{_HAN}'), false) AS has_han,
   coalesce(regexp_matches(regexp_replace({_fill(_STRIP, "text")}, '[ ()]', '', 'g'), '^[+-]?(\d{{1,3}}(,\d{{3}})*|\d+)(\.\d+)?$'), false) AS is_number,
   CASE WHEN regexp_matches(replace({_LABEL}, '凈', '淨'), '{_any(t.SUBTOTALS)}') THEN 'subtotal' WHEN regexp_matches(replace({_LABEL}, '凈', '淨'), '{_any(t.FINAL_TOTALS)}') THEN 'final' END AS label_kind
 FROM (SELECT 'name' AS origin, row_id AS id, productname AS text FROM flat_export UNION ALL SELECT 'line', line_id, text FROM doc_lines)""",
+    "x_line_texts": f"""
+WITH n AS (SELECT line_id, {"".join("replace(" for _ in t.CIRCLED)}replace({_fill(_FOLD, 'text')}, ' ', ''){"".join(f", '{ch}', '{k}、')" for k, ch in enumerate(t.CIRCLED, 1))} AS s FROM doc_lines),
+c AS (SELECT line_id, unnest(string_split(s, '')) AS ch, generate_subscripts(string_split(s, ''), 1) AS i FROM n WHERE s <> ''),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY line_id, ch ORDER BY i) AS g FROM c),
+k AS (SELECT *, count(*) OVER (PARTITION BY line_id, ch, g) AS n, row_number() OVER (PARTITION BY line_id, ch, g ORDER BY i) AS p FROM r)
+SELECT n.line_id, coalesce(x, s) AS cleaned FROM n LEFT JOIN (SELECT line_id, coalesce(string_agg(ch, '' ORDER BY i) FILTER (NOT (regexp_matches(ch, '{_HAN}') AND n >= 4 AND p > 1)), '') AS x FROM k GROUP BY 1) y ON n.line_id = y.line_id""",
     "x_width_folded": f"SELECT line_id, {_fill(_FOLD, 'text')} AS folded FROM doc_lines",
     "x_strong_names": rf"""
-SELECT row_id, regexp_replace(regexp_replace(lower(translate({_fill(_FOLD, "productname")}, '{t.STRONG_FOLD[0]}', '{t.STRONG_FOLD[1]}')),
+SELECT row_id, regexp_replace(regexp_replace(lower(translate({_fill(_NFKC, "productname")}, '{t.STRONG_FOLD[0]}', '{t.STRONG_FOLD[1]}')),
   '\([^)]*(附註|附注|note|[ivx\d]+)[^)]*\)|（[^）]*(附註|附注|note|[ivx\d]+)[^）]*）', '', 'g'), '[\s:：,，。;；、()（）\[\]【】/\\_\-–—]+', '', 'g') AS strong
 FROM flat_export""",
     "x_amounts_read": rf"""

@@ -221,13 +221,19 @@ def read_page_json(spark: SparkSession, pattern: str) -> DataFrame:
     return named.where((F.col("infocode") != "") & wanted).select("infocode", "page_number", "block_no", t.alias("type"), c.alias("content"), text.alias("text"), F.get("b.bbox", F.lit(0)).alias("x0"), F.when(t == "table", html_grid(fold_width(c))).alias("grid"))
 
 
-def html_report(totals: dict, fields: list[dict], path: str) -> None:
-    """K4: the corpus figures as a page; takes the few rows of an aggregate, never documents."""
-    esc = lambda v: str(v).replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+def html_report(totals: dict, fields: list[dict], path: str, more: dict[str, list[dict]] | None = None) -> None:
+    """K4: the corpus figures as a page: tiles, agreement by field, and ``more`` tables by title (causes, stages, documents
+    side by side). Takes the few rows of aggregates and a top list, never all documents."""
+    esc = lambda v: str("" if v is None else v).replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+
+    def as_table(title: str, rows: list[dict]) -> str:
+        head = "".join(f"<th>{esc(k)}</th>" for k in (rows[0] if rows else {}))
+        body = "".join("<tr>" + "".join(f"<td>{esc(v)}</td>" for v in r.values()) + "</tr>" for r in rows)
+        return f"<h2>{esc(title)}</h2><table><tr>{head}</tr>{body}</table>"
+
     tiles = "".join(f"<div class=k><b>{esc(v)}</b><span>{esc(k)}</span></div>" for k, v in totals.items())
-    rows = "".join("<tr>" + "".join(f"<td>{esc(v)}</td>" for v in r.values()) + "</tr>" for r in fields)
-    head = "".join(f"<th>{esc(k)}</th>" for k in (fields[0] if fields else {}))
-    page = f"<!doctype html><meta charset=utf-8><title>Quality</title><style>.k{{display:inline-block;margin:8px}}.k b{{display:block}}</style>{tiles}<table><tr>{head}</tr>{rows}</table>"
+    tables = "".join(as_table(title, rows) for title, rows in {"Fields": fields, **(more or {})}.items())
+    page = f"<!doctype html><meta charset=utf-8><title>Quality</title><style>.k{{display:inline-block;margin:8px}}.k b{{display:block}}</style>{tiles}{tables}"
     with open(path + ".tmp", "w", encoding="utf-8") as f:
         f.write(page)
     os.replace(path + ".tmp", path)
