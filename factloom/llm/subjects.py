@@ -273,10 +273,11 @@ def _round(rows: DataFrame, sent, areas: int, refine: bool) -> tuple[dict[str, n
     return total, count
 
 
-def score(documents: DataFrame, model: Model, about: float = ABOUT, share: float = SHARE) -> DataFrame:
+def score(documents: DataFrame, model: Model, about: float = ABOUT, share: float = SHARE, all_documents: bool = False) -> DataFrame:
     """(doc_id, subject_code, sentences, of): areas that at least ``share`` of a document's sentences are about.
 
-    All sentences of the whole text count. A null or empty text, and one without a sentence, has no area.
+    All sentences of the whole text count. A null or empty text, and one without a sentence, has no area; with
+    ``all_documents`` a document without an area has one row whose subject_code is null.
     """
     sent = documents.sparkSession.sparkContext.broadcast(model)
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -292,9 +293,12 @@ def score(documents: DataFrame, model: Model, about: float = ABOUT, share: float
                 n = np.bincount(s.document, minlength=e - a)
                 hits = np.stack([np.bincount(s.document, weights=hot[:, k], minlength=e - a) for k in range(len(m.areas))], 1) if m.areas else np.zeros((e - a, 0))
                 d, k = np.nonzero((hits > 0) & (hits >= share * n[:, None] - 1e-9))
-                if len(d):
-                    ids = b.column(0).slice(a, e - a).take(pa.array(d))
-                    cols = [ids, pa.array([m.areas[x] for x in k], pa.string()), pa.array(hits[d, k].astype(np.int32)), pa.array(n[d].astype(np.int32))]
+                bare = np.setdiff1d(np.arange(e - a), d) if all_documents else d[:0]
+                if len(d) + len(bare):
+                    at = np.concatenate([d, bare])
+                    ids = b.column(0).slice(a, e - a).take(pa.array(at))
+                    of = np.concatenate([hits[d, k], np.zeros(len(bare))])
+                    cols = [ids, pa.array([m.areas[x] for x in k] + [None] * len(bare), pa.string()), pa.array(of.astype(np.int32)), pa.array(n[at].astype(np.int32))]
                     yield pa.RecordBatch.from_arrays(cols, names=["doc_id", *out.names])
 
     return documents.select("doc_id", "text").mapInArrow(batches, f"doc_id {kind}, subject_code string, sentences int, of int")
@@ -314,8 +318,8 @@ def subjects_found(documents: DataFrame, labels: DataFrame, areas: DataFrame) ->
 def composition(documents: DataFrame, labels: DataFrame, areas: DataFrame) -> DataFrame:
     """(subject_code, n_documents, share_of_documents) of the corpus, 'none' for documents without an area."""
     codes = [r[0] for r in areas.where("subject_code is not null").select("subject_code").distinct().orderBy("subject_code").collect()]
-    found = score(documents, train(documents, labels, codes))
-    total = documents.count()
-    per_area = found.groupBy("subject_code").agg(F.count("*").alias("n_documents"))
-    some = found.select("doc_id").distinct().agg(F.lit("none").alias("subject_code"), (F.lit(total) - F.count("*")).alias("n_documents"))
-    return per_area.unionByName(some).withColumn("share_of_documents", F.col("n_documents") / F.lit(max(total, 1)))
+    found = score(documents, train(documents, labels, codes), all_documents=True)
+    none = documents.sparkSession.createDataFrame([("none", 0)], "subject_code string, n_documents long")
+    per_area = found.groupBy(F.coalesce("subject_code", F.lit("none")).alias("subject_code")).agg(F.count("*").alias("n_documents"))
+    per_area = per_area.unionByName(none).groupBy("subject_code").agg(F.sum("n_documents").alias("n_documents"))
+    return per_area.withColumn("share_of_documents", F.col("n_documents") / F.lit(max(documents.count(), 1)))
