@@ -1,7 +1,7 @@
 """From the lines of documents to their records: sections, the chosen section, its tables, facts, metrics, records.
 
 Each step is a DataFrame of the one before; nothing of a document is gathered but what is bounded by a page, a
-table or the alphabet.
+table or the alphabet. Steps that several later ones use are kept in the shared folder, which also cuts the plan.
 """
 
 from __future__ import annotations
@@ -210,12 +210,13 @@ def extract(lines: DataFrame, prior: DataFrame) -> Extraction:
     first = own.groupBy("infocode").agg(F.min("table_no").alias("table_no"))
     kind = gr.classify(F.col("grid"), F.col("title"), F.col("named"))
     read = gr.with_names(own, names).withColumn("classification", kind).join(surroundings(sectioned, marks, main), "infocode", "left")
-    facts = gr.grid_facts(read).where("error is null").join(own.select("table_id", F.col("infocode").alias("doc"), "table_no"), "table_id")
+    facts = gr.grid_facts(read).where("error is null").join(own.select("table_id", F.col("infocode").alias("doc"), "table_no"), "table_id").checkpoint()
     merged = fa.merge_tables(facts.withColumn("name", F.col("product_name")).withColumn("is_total", F.col("product_name") == gr.TOTAL)).checkpoint()
     revenue = merged.select(F.col("doc").alias("infocode"), (F.col("table_no") * 100_000 + F.col("fact_no")).alias("fact_no"), "product_name", "start_date", "end_date")
     others = grids.join(first.join(main.select(*SECTION), "infocode"), [*SECTION, "table_no"], "left_anti")
-    found = metrics_of_tables(others, marks, revenue).unionByName(metrics_of_headers(others, revenue, required_metrics(prior)))
-    metrics = fa.first_facts(found.withColumnRenamed("infocode", "doc"), ["doc", "name", "start_date", "end_date", "metric"], ["place"])
+    others = others.checkpoint()
+    found = metrics_of_tables(others, marks, revenue).checkpoint().unionByName(metrics_of_headers(others, revenue, required_metrics(prior)))
+    metrics = fa.first_facts(found.withColumnRenamed("infocode", "doc"), ["doc", "name", "start_date", "end_date", "metric"], ["place"]).checkpoint()
     made = fa.records(fa.with_metrics(merged, metrics.withColumn("fact_no", F.lit(0))))
     return Extraction(sectioned, words, marks, main, grids, merged, metrics, made)
 

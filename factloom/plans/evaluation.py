@@ -124,7 +124,7 @@ def _backtest(spark: SparkSession, data_dir: str) -> DataFrame:
     pred = side(read).checkpoint()
     covered = li.multiset_covered(exp, pred, "doc", ["mbrevenue", "mbcost", "gross_profit"])
     totals = fa.sums_against_totals(done.facts.withColumn("kind", F.when(F.col("is_total"), "final")), ["doc", "start_date", "end_date"]).groupBy("doc").agg(F.min(F.coalesce("agrees", F.lit(True))).alias("totals_agree"))
-    runs = rc.outcomes(lines, done).join(covered, "doc", "left").join(totals, "doc", "left")
+    runs = rc.outcomes(lines, done).join(covered, "doc", "left").join(totals, "doc", "left").checkpoint()
     return qu.compare_documents(exp, pred, li.pair_rows(exp, pred).checkpoint(), list(FIELDS), containment=True, runs=runs)
 
 
