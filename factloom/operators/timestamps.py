@@ -255,7 +255,7 @@ def zone_intervals(zones: DataFrame) -> DataFrame:
                     out.append((zone, y, [{"from_us": a * 1_000_000, "to_us": e * 1_000_000, "offset_s": o} for a, e, o in sorted(spans[first:last])]))
                 yield pd.DataFrame(out, columns=["zone", "year", "intervals"])
 
-    return zones.mapInPandas(rows, "zone string, year int, intervals array<struct<from_us: long, to_us: long, offset_s: int>>")
+    return zones.repartition(8).mapInPandas(rows, "zone string, year int, intervals array<struct<from_us: long, to_us: long, offset_s: int>>")
 
 
 def _zones_needed(df: DataFrame, text: str, source_zone: str) -> DataFrame:
