@@ -116,6 +116,40 @@ def with_names(grids: DataFrame, names: DataFrame) -> DataFrame:
     return out.withColumns({"named": F.coalesce("named", none), "known": F.coalesce("known", none), "has_names": F.coalesce("has_names", F.lit(False))})
 
 
+def with_named(grids: DataFrame, names: DataFrame, few: int = 64) -> DataFrame:
+    """``grids`` with ``named`` as ``with_names`` gives it, where only the class of a grid is asked for.
+
+    Names of a document with up to ``few`` are carried to its grids; those of one with more meet its cells by grams,
+    so what a row holds is bounded in both. Columns: those of ``grids`` and named.
+    """
+    shared_dir(grids.sparkSession)
+    whole = F.replace(strip("name"), F.lit("之"), F.lit(""))
+    part = F.element_at(F.split(F.element_at(F.split(whole, "-"), -1), ":"), 1)
+    long = F.when((F.length(whole) > 10) & whole.contains("-"), whole)
+    looked = names.select("infocode", part.alias("text"), long.alias("long")).where("infocode is not null and (text <> '' or long is not null)").distinct().checkpoint()
+    counts = looked.groupBy("infocode").agg(F.count("*").alias("_k"))
+    counted = looked.join(counts, "infocode")
+    carried = F.when(F.col("_k") <= few, F.struct(F.col("text"), F.array_distinct(F.split("long", "")).alias("letters")))
+    own = counted.groupBy("infocode", "_k").agg(F.collect_list(carried).alias("_own"))
+    cells = F.array_distinct(F.transform(F.flatten("grid"), bare_text))
+    spelled = lambda letters, text: F.forall(letters, lambda x: text.contains(x))
+    within = lambda text: F.exists("_own", lambda o: ((o["text"] != "") & text.contains(o["text"])) | F.coalesce(spelled(o["letters"], text), F.lit(False)))
+    none = F.array().cast("array<string>")
+    small = grids.join(own, "infocode", "left").where(F.col("_k").isNull() | (F.col("_k") <= few))
+    small = small.select(*grids.columns, F.coalesce(F.when(F.size("_own") > 0, F.filter(cells, within)), none).alias("named"))
+
+    large = grids.join(counts.where(F.col("_k") > few).select("infocode"), "infocode", "left_semi")
+    every = large.select("infocode", "table_id", F.explode(cells).alias("text")).where("text <> ''")
+    texts = every.select("infocode", "text").distinct()
+    many = counted.where(F.col("_k") > few)
+    hits = containing(many.select("infocode", "text"), texts, ["infocode"]).select("infocode", F.col("outer").alias("text"))
+    letters = many.where("long is not null").select("infocode", F.array_distinct(F.split("long", "")).alias("letters")).distinct()
+    by_letters = texts.where(F.col("text").contains("-")).join(letters, "infocode").where((F.size("letters") <= F.length("text")) & spelled(F.col("letters"), F.col("text"))).select("infocode", "text")
+    met = every.join(hits.union(by_letters).distinct().checkpoint(), ["infocode", "text"])  # cuts the plan
+    per_table = met.groupBy("table_id").agg(F.collect_list("text").alias("named"))
+    return small.unionByName(large.join(per_table, "table_id", "left").select(*grids.columns, F.coalesce("named", none).alias("named")))
+
+
 def classify(grid: Column, title: Column, named: Column) -> Column:
     """How a grid holds products: 'profit_loss', 'product_in_rows', 'product_in_columns' or 'unsupported'.
 

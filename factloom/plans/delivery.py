@@ -86,15 +86,17 @@ def html_classified(spark: SparkSession, data_dir: str) -> DataFrame:
     down = F.concat(row(words, F.lit("2024")), row(esc(F.col("productname")), esc(F.col("mbrevenue"))), row(esc(F.col("currency")), esc(F.col("mbcost"))))
     across = F.concat(row(words, esc(F.col("productname")), esc(F.col("currency"))), row(F.lit("隨時間"), esc(F.col("mbrevenue")), esc(F.col("mbcost"))))
     made = flat.select("infocode", F.col("row_id").cast("string").alias("table_id"), gr.html_grid(F.when(F.col("row_id") % 2 == 0, down).otherwise(across)).alias("grid"))
-    named = gr.with_names(made, _names(spark, data_dir))
+    named = gr.with_named(made, _names(spark, data_dir))
     return named.select("table_id", gr.classify(F.col("grid"), F.lit(""), F.col("named")).alias("classification"))
 
 
 def grids_classified(spark: SparkSession, data_dir: str) -> DataFrame:
     """How each table of each section holds products, by the section's title and the filing's names."""
-    sectioned = rc.sectioned_lines(_lines(spark, data_dir))
+    shared_dir(spark)
+    sectioned = rc.sectioned_lines(_lines(spark, data_dir)).drop("text").checkpoint()  # used twice; cuts the plan
     titles = sectioned.select(*rc.SECTION, "title").distinct()
-    g = gr.with_names(rc.section_grids(rc.section_words(sectioned), titles), _names(spark, data_dir)).join(titles, rc.SECTION)
+    made = rc.section_grids(rc.section_words(sectioned), titles).join(titles, rc.SECTION).select("infocode", "table_id", "grid", "title").checkpoint()
+    g = gr.with_named(made, _names(spark, data_dir))
     return g.select("table_id", F.size("grid").alias("n_rows"), gr.classify(F.col("grid"), F.col("title"), F.col("named")).alias("classification"))
 
 

@@ -6,8 +6,11 @@ import pytest
 
 from factloom.operators import grids as gr
 from factloom.operators.selection import best_sections, name_hits, usable_name
+from factloom.plans import registry
 from pyspark.sql import functions as F
 
+from .oracle import DATA
+
 PERIOD = "截至2024年12月31日止年度"
 Y24, Y23 = (date(2024, 1, 1), date(2024, 12, 31)), (date(2023, 1, 1), date(2023, 12, 31))
 
@@ -121,6 +124,29 @@ def test_names_of_cells_against_a_loop(spark):
         assert r.has_names == bool(own)
 
 
+@pytest.mark.parametrize("few", [0, 2, 64])
+def test_named_cells_for_few_names_and_many(spark, few):
+    """Both ways of ``with_named`` against ``with_names``; neither repeats a grid or loses one."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("甲乙丙之 -:Ab") for _ in range(rng.randint(0, n)))
+    grids = [(f"d{rng.randrange(6)}", f"t{i}", [[word(14), None, "x"], [word(6)], []]) for i in range(60)] + [("d0", "empty", []), ("d0", "null", None), (None, "no code", [["甲"]]), ("d9", "no names", [["甲"]])]
+    g = spark.createDataFrame(grids, "infocode string, table_id string, grid array<array<string>>")
+    names = {(f"d{d}", x) for d in range(6) for x in (word(rng.choice((3, 14))) for _ in range(d)) if x.strip()} | {("d1", "甲乙丙-bbbbbbb"), ("d5", "乙甲-bbbbbbbbb"), ("d5", "-")}
+    n = spark.createDataFrame(sorted(names), "infocode string, name string")
+    cells = lambda df: {r.table_id: sorted(r.named) for r in df.collect()}
+    got = gr.with_named(g, n, few)
+    assert got.columns == [*g.columns, "named"] and got.count() == len(grids)
+    want = cells(gr.with_names(g, n))
+    assert cells(got) == want and any(want.values())
+
+
+@pytest.mark.parametrize("query, most", [("t_html_classified", 24), ("t_grids_classified", 24)])
+def test_classifying_keeps_a_short_plan(spark, query, most):
+    """The driver holds the plan with its stages: what classifying doesn't ask for isn't in it."""
+    plan = registry.queries()[query](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= most
+
+
 def test_grid_facts_survive_bad_rows(spark):
     grid, year = [["", "2024年"], ["酒店甲", "5"]], (2024, [2024], date(2024, 12, 31))
     rows = [("a", grid, "product_in_columns", ["酒店甲"], True, *year, None, "港元", "千元"), ("e", grid, "product_in_columns", [], False, *year, 100_000, "", ""), ("b", None, "product_in_columns", None, None, None, None, None, 12, None, None), ("c", [[None]], "nothing", [], False, None, None, None, 12, "", "")]
