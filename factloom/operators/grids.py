@@ -166,7 +166,7 @@ def _orientation(grid: Column, named: Column) -> Column:
     width = F.array_max(F.transform(grid, lambda r: F.size(r)))
     columns = F.transform(F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))), lambda c: F.transform(grid, lambda r: F.get(r, c)))
     hits = lambda cells: F.size(F.filter(cells, lambda x: F.coalesce(F.array_contains(named, bare_text(x)), F.lit(False))))
-    by_row, by_col = F.array_max(F.transform(grid, hits)), F.array_max(F.transform(columns, hits))
+    most = lambda lines: F.when(F.size(named) > 0, F.array_max(F.transform(lines, hits))).otherwise(0)
     row_text, col_text = F.size(F.filter(F.get(grid, F.lit(0)), _said)), F.size(F.filter(F.get(columns, F.lit(0)), lambda x: F.coalesce(_said(x), F.lit(False))))
     timing = "|".join(TIMING_WORDS)
 
@@ -176,24 +176,32 @@ def _orientation(grid: Column, named: Column) -> Column:
         ends = F.array(F.struct(F.array_min(said).alias("lo"), F.array_max(said).alias("hi")))
         return F.get(F.transform(ends, lambda e: F.size(F.filter(cells, lambda x: F.coalesce(x.rlike(timing) & ((e["lo"] != x) | (e["hi"] != x)), F.lit(False))))), F.lit(0))
 
-    total = lambda lines: F.aggregate(F.transform(lines, votes), F.lit(0), lambda acc, x: acc + x)
-    split = F.exists(F.flatten(grid), lambda x: F.coalesce(x.rlike("|".join(SPLIT_WORDS)), F.lit(False)))
-    counted = F.array(F.struct(
-        by_row.alias("r"), by_col.alias("c"), row_text.alias("rt"), col_text.alias("ct"), total(grid).alias("rv"), total(columns).alias("cv"),
-        split.alias("split"), (F.size(grid) >= 2).alias("tall"), (width >= 2).alias("wide")))
+    has = lambda words: F.exists(F.flatten(grid), lambda x: F.coalesce(x.rlike("|".join(words)), F.lit(False)))
+    timed = has(TIMING_WORDS)
+    total = lambda lines: F.when(timed, F.aggregate(F.transform(lines, votes), F.lit(0), lambda acc, x: acc + x)).otherwise(0)
     rows, cols = F.lit("product_in_rows"), F.lit("product_in_columns")
+    # each rung is worked out only where those above don't decide
+    by_name = F.array(F.struct(most(grid).alias("r"), most(columns).alias("c")))
+    by_timing = F.array(F.struct(total(grid).alias("r"), total(columns).alias("c")))
+    by_text = F.array(F.struct(row_text.alias("r"), col_text.alias("c")))
 
-    def ladder(k: Column) -> Column:
+    def named_more(k: Column) -> Column:
+        dense = F.get(F.transform(by_text, lambda t: (t["c"] >= 6) & (t["c"] >= 3 * t["r"])), F.lit(0))
+        return F.when(k["r"] + k["c"] > 0, F.when(k["r"] > k["c"], rows).when(k["r"] < k["c"], cols).when(dense, cols).otherwise(rows))
+
+    timed_more = lambda k: F.when(k["r"] + k["c"] > 0, F.when(k["r"] >= k["c"], rows).otherwise(cols))
+
+    def said_more(k: Column) -> Column:
+        block = (F.size(grid) >= 2) & (width >= 2)
         return (
-            F.when(k["r"] + k["c"] > 0, F.when((k["r"] == k["c"]) & (k["ct"] >= 6) & (k["ct"] >= 3 * k["rt"]), cols).when(k["r"] >= k["c"], rows).otherwise(cols))
-            .when(k["rv"] + k["cv"] > 0, F.when(k["rv"] >= k["cv"], rows).otherwise(cols))
-            .when(k["split"] & ((k["rt"] >= 2) | (k["ct"] >= 2)), F.when(k["rt"] >= k["ct"], rows).otherwise(cols))
-            .when(k["tall"] & k["wide"] & (k["rt"] >= 2) & (k["rt"] > k["ct"]), rows)
-            .when(k["tall"] & k["wide"] & (k["ct"] >= 2) & (k["ct"] > k["rt"]), cols)
+            F.when(((k["r"] >= 2) | (k["c"] >= 2)) & has(SPLIT_WORDS), F.when(k["r"] >= k["c"], rows).otherwise(cols))
+            .when(block & (k["r"] >= 2) & (k["r"] > k["c"]), rows)
+            .when(block & (k["c"] >= 2) & (k["c"] > k["r"]), cols)
             .otherwise("unsupported")
         )
 
-    return F.when(F.coalesce(F.size(grid), F.lit(0)) <= 0, "unsupported").otherwise(F.get(F.transform(counted, ladder), F.lit(0)))
+    rungs = [F.get(F.transform(k, f), F.lit(0)) for k, f in ((by_name, named_more), (by_timing, timed_more), (by_text, said_more))]
+    return F.when(F.coalesce(F.size(grid), F.lit(0)) <= 0, "unsupported").otherwise(F.coalesce(*rungs))
 
 
 # ---- facts, one grid at a time ----
